@@ -108,7 +108,7 @@ def channel_key(channel_id: Column) -> Column:
 
 def safe_int(value: Column, default: int = 0, minimum: int | None = None) -> Column:
     """Integer form of ``value``, or ``default``; never below ``minimum``."""
-    parsed = F.coalesce(strip(value).try_cast("int"), F.lit(default))
+    parsed = F.coalesce(strip(value).try_cast("bigint"), F.lit(default))
     return parsed if minimum is None else F.greatest(parsed, F.lit(minimum))
 
 

@@ -33,18 +33,23 @@ def pending_channels(channels: DataFrame, processed: DataFrame) -> DataFrame:
     return channels.join(done, "channel_username", "left_anti")
 
 
-def in_date_range(column: str, start=None, end=None) -> Column:
+def in_date_range(column: str, start=None, end=None, kind: str = "timestamp") -> Column:
     """Both ends inclusive; an end that is None is open."""
     keep = F.lit(True)
     if start is not None:
-        keep = keep & (F.col(column) >= F.lit(start).cast("timestamp"))
+        keep = keep & (F.col(column) >= F.lit(start).cast(kind))
     if end is not None:
-        keep = keep & (F.col(column) <= F.lit(end).cast("timestamp"))
+        keep = keep & (F.col(column) <= F.lit(end).cast(kind))
     return keep
 
 
 def messages_in_range(messages: DataFrame, start=None, end=None, *, column: str = "date") -> DataFrame:
-    return messages.filter(in_date_range(column, start, end))
+    """Messages within the dates.
+
+    The bounds take the type of the stored column, so that the comparison
+    reaches the file scan.
+    """
+    return messages.filter(in_date_range(column, start, end, messages.schema[column].dataType.simpleString()))
 
 
 def match_keywords(posts: DataFrame, keywords=("",)) -> DataFrame:

@@ -71,25 +71,30 @@ def document_keywords(corpus: DataFrame, *, stop_words=(), min_df: float = MIN_D
     )
 
 
-def cosine(left: Column, right: Column) -> Column:
-    def dot(a, b):
-        products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda total, product: total + product)
+def _dot(left: Column, right: Column) -> Column:
+    products = F.zip_with(left, right, lambda x, y: x * y)
+    return F.aggregate(products, F.lit(0.0), lambda total, product: total + product)
 
-    norm = F.sqrt(dot(left, left)) * F.sqrt(dot(right, right))
-    return F.when(norm > 0, dot(left, right) / norm)
+
+def unit_vector(vector: Column) -> Column:
+    """``vector`` at length 1, in double precision; NULL if it has no direction."""
+    wide = vector.cast("array<double>")
+    length = F.sqrt(_dot(wide, wide))
+    return F.when(length > 0, F.transform(wide, lambda x: x / length))
 
 
 def vector_keywords(terms: DataFrame, doc_vectors: DataFrame, term_vectors: DataFrame, *, n: int = KEYWORDS) -> DataFrame:
     """``doc_id, term, weight, rank`` by the cosine of document and term vectors.
 
     Only terms that occur in a document are compared with it, so the work grows
-    with the text, not with documents times terms. Vectors come with the caller:
-    (doc_id, doc_vector) and (term, term_vector).
+    with the text, not with documents times terms. Vectors come with the caller,
+    (doc_id, doc_vector) and (term, term_vector), and are scaled once each, not
+    once per pair.
     """
-    present = terms.select("doc_id", "term")
-    paired = lookup_join(present, term_vectors, "term", "inner").join(doc_vectors, "doc_id")
-    weight = F.round(cosine(F.col("doc_vector"), F.col("term_vector")), 6).alias("weight")
+    docs = doc_vectors.select("doc_id", unit_vector(F.col("doc_vector")).alias("doc_vector"))
+    units = stage(term_vectors.select("term", unit_vector(F.col("term_vector")).alias("term_vector")))
+    paired = lookup_join(terms.select("doc_id", "term").join(docs, "doc_id"), units, "term", "inner")
+    weight = F.round(_dot(F.col("doc_vector"), F.col("term_vector")), 6).alias("weight")
     return top_terms_per_doc(paired.select("doc_id", "term", weight), n)
 
 

@@ -104,14 +104,85 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts with a forward header, one of eight kinds."""
+def raw_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel references as users type them, seven kinds."""
+    key = F.col("p_partkey")
+    name = F.concat(F.lit("ch_"), key.cast("string"))
+    raw = (
+        F.when(key % 12 == 6, F.concat(F.lit("https://t.me/@"), name))
+        .when(key % 6 == 0, F.concat(F.lit("@"), name))
+        .when(key % 6 == 1, F.concat(F.lit("@@"), name, F.lit(" ")))
+        .when(key % 6 == 2, F.concat(F.lit(" https://t.me/"), name, F.lit(" ")))
+        .when(key % 6 == 3, F.concat(F.lit(" @"), name))
+        .when(key % 6 == 4, "@")
+        .otherwise("  ")
+    )
+    return table(spark, sf_dir, "part").select(key.alias("channel_id"), raw.alias("raw"))
+
+
+def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as ISO text: bare, with a time, with an offset, with a space."""
+    key = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    hour = F.lpad((key % 24).cast("string"), 2, "0")
+    raw = (
+        F.when(key % 4 == 0, day)
+        .when(key % 4 == 1, F.concat(day, F.lit("T"), hour, F.lit(":15:00")))
+        .when(key % 4 == 2, F.concat(day, F.lit("T"), hour, F.lit(":15:00+02:00")))
+        .otherwise(F.concat(day, F.lit(" "), hour, F.lit(":15:00")))
+    )
+    return table(spark, sf_dir, "orders").select(key.alias("order_id"), raw.alias("raw"))
+
+
+def raw_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers as text: plain, padded, missing, fractional, negative."""
+    key = F.col("event_id")
+    user = F.col("user_id").cast("string")
+    raw = (
+        F.when(key % 5 == 0, user)
+        .when(key % 5 == 1, F.concat(F.lit("  "), user, F.lit(" ")))
+        .when(key % 5 == 2, "n/a")
+        .when(key % 5 == 3, F.concat(user, F.lit(".5")))
+        .otherwise(F.concat(F.lit("-"), user))
+    )
+    return table(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
+
+
+def earlier_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel rows of two earlier runs, which found some channels at different depths."""
+    found = channels(spark, sf_dir).select("channel_id", "username")
+    key = F.col("channel_id")
+    first = found.filter(key % 3 != 0).withColumn("discovered_depth", (key % 4).cast("int"))
+    second = found.filter(key % 2 == 0).withColumn("discovered_depth", (key % 5).cast("int"))
+    return first.unionByName(second)
+
+
+def chat_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forwards from chats to message channels: few targets, so a wide matrix makes sense."""
+    blank = F.lit("")
+    return messages(spark, sf_dir).filter("is_forwarded").select(
+        F.lit(None).cast("long").alias("channel_to_id"),
+        F.col("channel_username").alias("channel_to_username"),
+        blank.alias("channel_to_title"),
+        (F.col("message_id") % 9).alias("channel_from_id"),
+        blank.alias("channel_from_username"),
+        blank.alias("channel_from_title"),
+        blank.alias("from_name_fallback"),
+        F.col("message_id").alias("target_message_id"),
+    )
+
+
+def header_posts(events: DataFrame) -> DataFrame:
+    """Posts with a forward header, one of eight kinds, from event rows."""
     key = F.col("event_id")
     kind = key % 8
 
-    def peer(of: dict):
-        fields = [F.when(kind == of[name], key).alias(name) if name in of else F.lit(None).cast("long").alias(name) for name in ("channel_id", "chat_id", "user_id")]
-        return F.when(kind.isin(list(of.values())), F.struct(*fields))
+    def peer(kinds: dict):
+        fields = [
+            F.when(kind == kinds[name], key).alias(name) if name in kinds else F.lit(None).cast("long").alias(name)
+            for name in ("channel_id", "chat_id", "user_id")
+        ]
+        return F.when(kind.isin(list(kinds.values())), F.struct(*fields))
 
     header = F.struct(
         F.when(kind == 1, F.concat(F.lit("Name "), F.col("user_id").cast("string"))).alias("from_name"),
@@ -119,11 +190,11 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         peer({"channel_id": 5}).alias("saved_from_peer"),
         F.when(kind == 6, key).alias("saved_from_msg_id"),
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         key.alias("message_id"),
         F.col("user_id").cast("string").alias("channel_username"),
         F.col("ts").cast("timestamp").alias("date"),
-        F.col("props").alias("text"),
+        F.when(kind != 2, F.col("props")).alias("text"),
         F.when(kind != 3, key % 100).alias("views"),
         F.when(kind != 5, key % 10).alias("forwards"),
         F.when(kind != 0, header).alias("fwd_from"),
