@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -13,8 +13,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` and say whether it may be sent whole to every executor.
 
-    The limit bounds the work of the check itself. Pass tables that are stored
-    or staged: the rows looked at are read again by the join.
+    One combinable sum over the table. Pass tables that are stored or staged, as
+    the join reads them again.
     """
     width = F.lit(0).cast("long")
     for field in df.schema.fields:
@@ -22,10 +22,12 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
             size = F.octet_length(field.name)
         elif isinstance(field.dataType, ArrayType):
             size = F.size(field.name) * 8
+        elif isinstance(field.dataType, StructType):
+            size = F.lit(8 * len(field.dataType.fields))
         else:
             size = F.lit(8)
         width = width + F.coalesce(size, F.lit(0))
-    rows, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    rows, total = df.agg(F.count(F.lit(1)), F.sum(width)).first()
     return rows <= max_rows and (total or 0) <= max_bytes
 
 

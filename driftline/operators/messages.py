@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions.clean import channel_name, clean_cell, forward_source
 from driftline.operators.joins import lookup_join
-from driftline.operators.ranking import top_n_per_key
+from driftline.operators.ranking import top_n_per_key, top_n_wide
 from driftline.schemas import FORWARD_HEADER, MESSAGES, require_columns
 
 DEFAULT_LIMIT = 100
@@ -69,7 +69,7 @@ def keyword_posts(posts: DataFrame, keywords=("",), limit: int | None = DEFAULT_
     matched = match_keywords(posts, keywords)
     if limit is None:
         return matched
-    return top_n_per_key(matched, ["channel_username", "keyword_no"], newest_first(), limit)
+    return top_n_wide(matched, ["channel_username", "keyword_no"], [F.col("date"), F.col("message_id")], limit)
 
 
 def latest_posts(posts: DataFrame, limit: int = DEFAULT_LIMIT, *, channel: str = "channel_id") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.operators.joins import lookup_join
 from driftline.session import shuffle_width, stage
 
 
@@ -27,6 +28,25 @@ def top_n_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, *
     return survivors.withColumn("rank", F.row_number().over(in_key)).filter(F.col("rank") <= n)
 
 
+def top_n_wide(df: DataFrame, keys: list[str], at: list[Column], n: int) -> DataFrame:
+    """``top_n_per_key``, highest ``at`` first, for rows too wide to shuffle before they are chosen.
+
+    Keys and order alone are ranked to find the last place of each key. The full
+    rows are then filtered against it, which takes no shuffle where the table of
+    last places is small, and only what is left is ranked again. NULLs come last.
+    """
+    names = [f"_at{i}" for i in range(len(at))]
+    placed = df.withColumns(dict(zip(names, at)))
+    order = [F.desc_nulls_last(name) for name in names]
+    last = top_n_per_key(placed.select(*keys, *names), keys, order, n).filter(F.col("rank") == n)
+    bounds = stage(last.select(*keys, F.struct(*names).alias("_last")))
+    # Struct comparison puts NULL below every value, as the order above does.
+    reached = F.col("_last").isNull() | (F.struct(*names) >= F.col("_last"))
+    chosen = lookup_join(placed, bounds, keys).filter(reached).drop("_last")
+    in_key = Window.partitionBy(*keys).orderBy(*order)
+    return chosen.withColumn("rank", F.row_number().over(in_key)).filter(F.col("rank") <= n).drop(*names)
+
+
 def global_rank(df: DataFrame, order: list[Column]) -> DataFrame:
     """Add ``rank``, the 1-based position of each row in a total ``order``.
 

@@ -13,7 +13,7 @@ from driftline.functions.clean import strip, without_urls
 from driftline.operators.joins import lookup_join
 from driftline.operators.ranking import top_n_per_key
 from driftline.operators.vocabulary import clean_tokens, doc_terms, vocabulary
-from driftline.session import stage
+from driftline.session import shuffle_width, stage
 
 # Settings of the topic model.
 TOPICS = 5
@@ -162,10 +162,13 @@ def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 8, inner:
 
     Each round solves all document rows against fixed terms, then all terms
     against fixed documents: two joins and two combinable sums over the cells.
-    The inner updates are local to a row. Both factors are checkpointed, and the
-    driver holds only the topics x topics inner products.
+    The cells stay cached by document, so that the document half moves none of
+    them while the terms can be broadcast. The inner updates are local to a row.
+    Both factors are checkpointed; the driver holds only the topics x topics
+    inner products.
     """
-    cells = stage(cells.select("doc_id", "term", F.col("weight").cast("double").alias("weight")))
+    narrow = cells.select("doc_id", "term", F.col("weight").cast("double").alias("weight"))
+    cells = narrow.repartition(shuffle_width(cells.sparkSession), "doc_id").persist()
     w = stage(cells.select("doc_id").distinct().withColumn("w", _uniform("doc_id", topics, seed)))
     h = stage(cells.select("term").distinct().withColumn("h", _uniform("term", topics, seed)))
     for _ in range(rounds):
@@ -175,6 +178,7 @@ def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 8, inner:
         gram = _literal(_gram(w, "w", topics))
         target = _project(cells.join(w, "doc_id"), ["term"], "w", topics)
         h = stage(h.join(target, "term").select("term", _solve(F.col("h"), F.col("target"), gram, inner).alias("h")))
+    cells.unpersist()
     return Factors(w, h, topics)
 
 
