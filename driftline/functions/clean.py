@@ -33,7 +33,8 @@ def channel_name(raw: Column) -> Column:
 def clean_cell(value: Column) -> Column:
     """Stripped text, with all spellings of an empty cell turned into NULL."""
     text = strip(value.cast("string"))
-    return F.when(~F.lower(text).isin(*EMPTY_CELLS), text)
+    longest = max(map(len, EMPTY_CELLS))
+    return F.when((F.length(text) > longest) | ~F.lower(text).isin(*EMPTY_CELLS), text)
 
 
 def id_label(channel_id: Column) -> Column:

@@ -27,16 +27,24 @@ def without_words(words: Column, unwanted) -> Column:
 
 
 def ngrams(words: Column, lowest: int = 1, highest: int = 3) -> Column:
-    """All runs of ``lowest`` to ``highest`` neighbouring words, joined by a space."""
-    current, found = words, []
-    for size in range(1, highest + 1):
-        if size > 1:
-            left = F.slice(current, F.lit(1), F.greatest(F.size(current) - 1, F.lit(0)))
-            right = F.slice(words, F.lit(size), F.greatest(F.size(words) - (size - 1), F.lit(0)))
-            current = F.zip_with(left, right, lambda head, last: F.concat(head, F.lit(" "), last))
-        if size >= lowest:
-            found.append(current)
-    return F.concat(*found)
+    """All runs of ``lowest`` to ``highest`` neighbouring words, joined by a space.
+
+    ``words`` should be a plain column: it is referred to more than once. A run
+    that would pass the end of the list is NULL and dropped.
+    """
+
+    def starting_at(word, place):
+        run, runs = word, []
+        for size in range(1, highest + 1):
+            if size > 1:
+                run = F.concat(run, F.lit(" "), F.get(words, place + (size - 1)))
+            if size >= lowest:
+                runs.append(run)
+        return F.array(*runs)
+
+    if highest == 1:
+        return words
+    return F.array_compact(F.flatten(F.transform(words, starting_at)))
 
 
 def word_count(text: Column) -> Column:

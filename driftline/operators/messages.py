@@ -58,10 +58,13 @@ def match_keywords(posts: DataFrame, keywords=("",)) -> DataFrame:
     The keyword list is a literal of the plan: each post is read once, whatever
     the number of keywords.
     """
-    numbered = F.array(*[F.struct(F.lit(i).alias("keyword_no"), F.lit(k).alias("keyword")) for i, k in enumerate(keywords)])
-    text = F.lower(F.coalesce("text", F.lit("")))
-    hits = F.filter(numbered, lambda entry: F.contains(text, F.lower(entry["keyword"])))
-    return posts.withColumn("_hit", F.explode(hits)).select(*posts.columns, "_hit.keyword_no", "_hit.keyword")
+    lowered = posts.withColumn("_text", F.lower(F.coalesce("text", F.lit(""))))
+    hits = [
+        F.when(F.contains("_text", F.lower(F.lit(word))), F.struct(F.lit(number).alias("keyword_no"), F.lit(word).alias("keyword")))
+        for number, word in enumerate(keywords)
+    ]
+    matched = lowered.withColumn("_hit", F.explode(F.array_compact(F.array(*hits))))
+    return matched.select(*posts.columns, "_hit.keyword_no", "_hit.keyword")
 
 
 def keyword_posts(posts: DataFrame, keywords=("",), limit: int | None = DEFAULT_LIMIT) -> DataFrame:

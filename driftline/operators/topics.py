@@ -52,20 +52,30 @@ def top_terms_per_doc(weighted: DataFrame, n: int = KEYWORDS) -> DataFrame:
     return weighted.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
-def corpus_terms(corpus: DataFrame, *, stop_words=(), min_df: float = MIN_DF) -> tuple[DataFrame, DataFrame]:
-    """Staged term counts of the corpus within its vocabulary, and that vocabulary."""
-    counted = stage(doc_terms(corpus.select("doc_id", "text"), ["doc_id"], stop_words=stop_words))
+def corpus_vocabulary(corpus: DataFrame, *, stop_words=(), min_df: float = MIN_DF) -> DataFrame:
+    """Staged ``term, df, frequency`` of the corpus."""
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
-    vocab = stage(vocabulary(counted, n_docs, min_df=min_df))
-    return counted, vocab
+    return stage(vocabulary(corpus.select("text"), n_docs, stop_words=stop_words, min_df=min_df))
+
+
+def corpus_terms(corpus: DataFrame, vocab: DataFrame, *, stop_words=()) -> DataFrame:
+    """``doc_id, term, tf`` within the vocabulary.
+
+    Texts are cut a second time here: all terms of all documents are several
+    times the size of the texts and not worth storing.
+    """
+    return doc_terms(corpus.select("doc_id", "text"), ["doc_id"], stop_words=stop_words, within=vocab)
 
 
 def document_keywords(corpus: DataFrame, *, stop_words=(), min_df: float = MIN_DF, n: int = KEYWORDS) -> DataFrame:
-    """``doc_id, term, weight, rank`` by tf * idf, idf = ln((1 + docs) / (1 + df)) + 1."""
-    counted, vocab = corpus_terms(corpus, stop_words=stop_words, min_df=min_df)
+    """``doc_id, term, weight, rank`` by tf * idf, idf = ln((1 + docs) / (1 + df)) + 1.
+
+    ``corpus`` is read twice, so pass it staged.
+    """
+    vocab = corpus_vocabulary(corpus, stop_words=stop_words, min_df=min_df)
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
-    idf = (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf")
-    weighted = lookup_join(counted, stage(vocab.select("term", idf)), "term", "inner")
+    idf = stage(vocab.select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf")))
+    weighted = lookup_join(corpus_terms(corpus, vocab, stop_words=stop_words), idf, "term", "inner")
     return top_terms_per_doc(
         weighted.select("doc_id", "term", F.round(F.col("tf") * F.col("idf"), 6).alias("weight")), n
     )
@@ -76,11 +86,10 @@ def _dot(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, product: total + product)
 
 
-def unit_vector(vector: Column) -> Column:
-    """``vector`` at length 1, in double precision; NULL if it has no direction."""
-    wide = vector.cast("array<double>")
-    length = F.sqrt(_dot(wide, wide))
-    return F.when(length > 0, F.transform(wide, lambda x: x / length))
+def with_length(vectors: DataFrame, vector: str, length: str) -> DataFrame:
+    """Vectors in double precision with their length; those without a direction are dropped."""
+    wide = vectors.withColumn(vector, F.col(vector).cast("array<double>"))
+    return wide.withColumn(length, F.sqrt(_dot(F.col(vector), F.col(vector)))).filter(F.col(length) > 0)
 
 
 def vector_keywords(terms: DataFrame, doc_vectors: DataFrame, term_vectors: DataFrame, *, n: int = KEYWORDS) -> DataFrame:
@@ -88,14 +97,14 @@ def vector_keywords(terms: DataFrame, doc_vectors: DataFrame, term_vectors: Data
 
     Only terms that occur in a document are compared with it, so the work grows
     with the text, not with documents times terms. Vectors come with the caller,
-    (doc_id, doc_vector) and (term, term_vector), and are scaled once each, not
-    once per pair.
+    (doc_id, doc_vector) and (term, term_vector); lengths are taken once per
+    vector, not once per pair.
     """
-    docs = doc_vectors.select("doc_id", unit_vector(F.col("doc_vector")).alias("doc_vector"))
-    units = stage(term_vectors.select("term", unit_vector(F.col("term_vector")).alias("term_vector")))
-    paired = lookup_join(terms.select("doc_id", "term").join(docs, "doc_id"), units, "term", "inner")
-    weight = F.round(_dot(F.col("doc_vector"), F.col("term_vector")), 6).alias("weight")
-    return top_terms_per_doc(paired.select("doc_id", "term", weight), n)
+    docs = with_length(doc_vectors, "doc_vector", "doc_length")
+    of_terms = stage(with_length(term_vectors, "term_vector", "term_length"))
+    paired = lookup_join(terms.select("doc_id", "term").join(docs, "doc_id"), of_terms, "term", "inner")
+    cosine = _dot(F.col("doc_vector"), F.col("term_vector")) / (F.col("doc_length") * F.col("term_length"))
+    return top_terms_per_doc(paired.select("doc_id", "term", F.round(cosine, 6).alias("weight")), n)
 
 
 def time_bins(corpus: DataFrame, *, bins: int = BINS) -> DataFrame:

@@ -23,45 +23,76 @@ def clean_tokens(text: Column, stop_words=()) -> Column:
     return without_words(tokens(text), stop_words)
 
 
-def doc_terms(docs: DataFrame, key: list[str], *, stop_words=(), lowest: int = 1, highest: int = 3) -> DataFrame:
+def doc_terms(
+    docs: DataFrame,
+    key: list[str],
+    *,
+    stop_words=(),
+    lowest: int = 1,
+    highest: int = 3,
+    within: DataFrame | None = None,
+) -> DataFrame:
     """``key..., term, tf``: how often each n-gram occurs in each document.
 
     ``docs`` has the key columns and ``text``; ``key[0]`` identifies a document.
     Texts are shuffled once, before they are cut into terms, by the document key:
     the count per document then needs no shuffle of the far larger term table.
+    With a vocabulary in ``within`` other terms are dropped before the count.
     """
     placed = docs.repartition(shuffle_width(docs.sparkSession), key[0])
-    grams = ngrams(clean_tokens(F.col("text"), stop_words), lowest, highest)
-    return placed.select(*key, F.explode(grams).alias("term")).groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = placed.select(*key, clean_tokens(F.col("text"), stop_words).alias("words"))
+    grams = words.select(*key, F.explode(ngrams(F.col("words"), lowest, highest)).alias("term"))
+    if within is not None:
+        grams = lookup_join(grams, within.select("term"), "term", "left_semi")
+    return grams.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def text_terms(texts: DataFrame, **options) -> DataFrame:
-    """``doc_terms`` of distinct texts, keyed by the text itself."""
+    """``doc_terms`` of distinct texts, keyed by the text itself, so meant for short ones."""
     return doc_terms(texts.select("text", "copies"), ["text", "copies"], **options)
 
 
-def vocabulary(terms: DataFrame, n_docs: Column, *, min_df: float = 1, max_df: float = 1.0) -> DataFrame:
-    """``term, df, frequency`` of the terms within both bounds.
+def vocabulary(
+    docs: DataFrame,
+    n_docs: Column,
+    *,
+    stop_words=(),
+    lowest: int = 1,
+    highest: int = 3,
+    min_df: float = 1,
+    max_df: float = 1.0,
+) -> DataFrame:
+    """``term, df, frequency`` of the n-grams whose document frequency is within both bounds.
 
     A whole-number bound counts documents; a fractional one is multiplied by the
-    number of documents and not rounded. ``copies`` weighs a row where present.
+    number of documents and not rounded. ``docs`` has one row per document with
+    ``text``, weighed by ``copies`` where present. Each row gives all its n-grams
+    and, marked apart, its different ones, so a single combinable sum by term
+    yields both counts and texts are not shuffled.
     """
-    copies = F.col("copies") if "copies" in terms.columns else F.lit(1)
+    copies = F.col("copies") if "copies" in docs.columns else F.lit(1)
 
     def bound(limit):
         return F.lit(limit) if isinstance(limit, int) else F.lit(float(limit)) * n_docs
 
+    words = docs.select(copies.cast("long").alias("copies"), clean_tokens(F.col("text"), stop_words).alias("words"))
+    grams = words.select("copies", ngrams(F.col("words"), lowest, highest).alias("grams"))
+    both = F.array(
+        F.struct(F.col("grams").alias("terms"), F.lit(False).alias("once")),
+        F.struct(F.array_distinct("grams").alias("terms"), F.lit(True).alias("once")),
+    )
+    lists = grams.select("copies", F.explode(both).alias("list"))
     return (
-        terms.groupBy("term")
-        .agg(F.sum(copies).cast("long").alias("df"), F.sum(copies * F.col("tf")).cast("long").alias("frequency"))
+        lists.select("copies", F.col("list.once").alias("once"), F.explode("list.terms").alias("term"))
+        .groupBy("term")
+        .agg(
+            F.sum(F.when(F.col("once"), F.col("copies")).otherwise(0)).alias("df"),
+            F.sum(F.when(F.col("once"), 0).otherwise(F.col("copies"))).alias("frequency"),
+        )
         .filter((F.col("df") >= bound(min_df)) & (F.col("df") <= bound(max_df)))
     )
 
 
-def within_vocabulary(terms: DataFrame, vocab: DataFrame) -> DataFrame:
-    return lookup_join(terms, vocab.select("term"), "term", "left_semi")
-
-
 def word_frequency(vocab: DataFrame) -> DataFrame:
     return vocab.select(F.col("term").alias("word"), "frequency").orderBy(F.desc("frequency"), "word")
 

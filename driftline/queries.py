@@ -33,7 +33,7 @@ STREAM_RANGE = ("2024-01-03 00:00:00", None)
 # The titles of the test data hold no articles; two of their adjectives stand in.
 FUNCTION_WORDS = names.ARTICLES_AND_PREPOSITIONS + ("new", "small")
 NAME_MIN_DF, NAME_MAX_DF = 0.01, 0.9
-MESSAGE_WORD_MIN_DF = 0.3
+MESSAGE_WORD_MIN_DF = 0.1
 
 
 def query(fn):
@@ -328,17 +328,21 @@ def _names(spark, sf_dir):
 
 
 def _name_vocabulary(spark, sf_dir):
-    """Staged terms of the names and their vocabulary."""
-    texts = vocabulary.distinct_texts(_names(spark, sf_dir), "name")
-    terms = stage(vocabulary.text_terms(texts, stop_words=stop_words()))
-    n_docs = _names(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
-    return terms, stage(vocabulary.vocabulary(terms, n_docs, min_df=NAME_MIN_DF, max_df=NAME_MAX_DF))
+    """Distinct names with their copies, and the vocabulary, both staged."""
+    texts = stage(vocabulary.distinct_texts(_names(spark, sf_dir), "name"))
+    n_docs = texts.agg(F.sum("copies")).scalar()
+    bounds = {"min_df": NAME_MIN_DF, "max_df": NAME_MAX_DF}
+    return texts, stage(vocabulary.vocabulary(texts, n_docs, stop_words=stop_words(), **bounds))
+
+
+def _name_terms(spark, sf_dir):
+    texts, vocab = _name_vocabulary(spark, sf_dir)
+    return vocabulary.text_terms(texts, stop_words=stop_words(), within=vocab), vocab
 
 
 def _name_graph(spark, sf_dir):
-    terms, vocab = _name_vocabulary(spark, sf_dir)
-    pairs = stage(vocabulary.cooccurrence(vocabulary.within_vocabulary(terms, vocab)))
-    return vocab, vocab.select(F.col("term").alias("token")), pairs
+    terms, vocab = _name_terms(spark, sf_dir)
+    return vocab, vocab.select(F.col("term").alias("token")), stage(vocabulary.cooccurrence(terms))
 
 
 def _features(spark, sf_dir):
@@ -398,8 +402,9 @@ def tokens_clean(spark, sf_dir):
 
 @query
 def q_ngrams(spark, sf_dir):
-    grams = ngrams(vocabulary.clean_tokens(F.col("name"), stop_words()), 1, 3)
-    exploded = _names(spark, sf_dir).select("channel_id", F.explode(grams).alias("term"))
+    words = vocabulary.clean_tokens(F.col("name"), stop_words()).alias("words")
+    listed = _names(spark, sf_dir).select("channel_id", words)
+    exploded = listed.select("channel_id", F.explode(ngrams(F.col("words"))).alias("term"))
     return exploded.groupBy("channel_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -419,7 +424,7 @@ def q_vocabulary(spark, sf_dir):
 
 @query
 def doc_terms(spark, sf_dir):
-    return vocabulary.within_vocabulary(*_name_vocabulary(spark, sf_dir))
+    return _name_terms(spark, sf_dir)[0]
 
 
 @query
@@ -507,9 +512,10 @@ def topic_keywords(spark, sf_dir):
 @query
 def vector_keywords(spark, sf_dir):
     corpus = _corpus(spark, sf_dir)
-    counted, vocab = topics.corpus_terms(corpus, stop_words=stop_words(TOPIC_LANGUAGES))
+    unwanted = stop_words(TOPIC_LANGUAGES)
+    vocab = topics.corpus_vocabulary(corpus, stop_words=unwanted)
     return topics.vector_keywords(
-        vocabulary.within_vocabulary(counted, vocab),
+        topics.corpus_terms(corpus, vocab, stop_words=unwanted),
         fixtures.doc_vectors(spark, sf_dir, corpus),
         fixtures.term_vectors(spark, sf_dir, vocab),
     )
@@ -570,8 +576,7 @@ def message_term_freq(spark, sf_dir):
 
 @query
 def message_ngrams(spark, sf_dir):
-    _, vocab = topics.corpus_terms(_corpus(spark, sf_dir), stop_words=stop_words(TOPIC_LANGUAGES))
-    return vocab
+    return topics.corpus_vocabulary(_corpus(spark, sf_dir), stop_words=stop_words(TOPIC_LANGUAGES))
 
 
 @query
@@ -610,10 +615,10 @@ def message_zipf(spark, sf_dir):
 @query
 def message_word_centrality(spark, sf_dir):
     corpus = _corpus(spark, sf_dir)
-    terms = stage(vocabulary.doc_terms(corpus.select("doc_id", "text"), ["doc_id"], stop_words=stop_words(), highest=1))
+    docs, single = corpus.select("doc_id", "text"), {"stop_words": stop_words(), "highest": 1}
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
-    vocab = stage(vocabulary.vocabulary(terms, n_docs, min_df=MESSAGE_WORD_MIN_DF, max_df=NAME_MAX_DF))
-    pairs = stage(vocabulary.cooccurrence(vocabulary.within_vocabulary(terms, vocab)))
+    vocab = stage(vocabulary.vocabulary(docs, n_docs, min_df=MESSAGE_WORD_MIN_DF, max_df=NAME_MAX_DF, **single))
+    pairs = stage(vocabulary.cooccurrence(vocabulary.doc_terms(docs, ["doc_id"], within=vocab, **single)))
     return _rounded(centrality.word_centrality(vocab.select(F.col("term").alias("token")), pairs))
 
 

@@ -147,11 +147,13 @@ FROM channels WHERE title IS NOT NULL AND {strip('title')} <> ''"""
 
 def grams(words: str, highest: int = 3) -> str:
     """List of 1- to ``highest``-grams of the list ``words``."""
+    if highest == 1:
+        return words
     parts = [words]
     for n in range(2, highest + 1):
         joined = " || ' ' || ".join(f"{words}[i + {k}]" for k in range(n))
         parts.append(f"list_transform(range(1, len({words}) - {n - 2}), lambda i: {joined})")
-    return f"list_concat({', '.join(parts)})" if len(parts) > 1 else words
+    return f"list_concat({', '.join(parts)})"
 
 
 def term_ctes(docs: str, key: str, text: str, languages, highest: int = 3):
@@ -637,6 +639,14 @@ UNION ALL SELECT username, channel_id % 5 FROM channels WHERE channel_id % 2 = 0
     sql["message_term_freq"] = with_ctes("SELECT * FROM freq", ("messages", MESSAGES), words)
     sql["message_zipf"] = with_ctes(rounded_fit, ("messages", MESSAGES), words, ("ranked", ZIPF), ("fit", FIT))
     sql["message_ngrams"] = with_ctes("SELECT * FROM vocab", *corpus)
+    word_graph = (
+        *corpus[:2],
+        *term_ctes("corpus", "doc_id", "text", NAME_LANGUAGES, 1),
+        vocab_cte("corpus", 0.1, 0.9),
+        *pair_ctes("doc_id"),
+        *centrality_ctes(),
+    )
+    sql["message_word_centrality"] = with_ctes(CENTRALITY, *word_graph)
     lengths = (("messages", MESSAGES), ("lengths", LENGTHS))
     sql["message_lengths"] = with_ctes("SELECT * FROM lengths", *lengths)
     sql["message_length_histogram"] = with_ctes(histogram("lengths"), *lengths)
