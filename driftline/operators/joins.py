@@ -40,15 +40,19 @@ def lookup_join(
     salts: int = 16,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``; a hot key in ``facts`` never lands in one task.
 
     A lookup table measured to be small is broadcast. Any other is repeated once
     per salt, and each fact row goes to the copy its own hash picks, so that a
-    key with a third of all rows is spread over ``salts`` tasks.
+    key with a third of all rows is spread over ``salts`` tasks. A caller that
+    joins equally large tables again and again passes its own check in ``small``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup, max_rows, max_bytes):
+    if small is None:
+        small = fits_broadcast(lookup, max_rows, max_bytes)
+    if small:
         return facts.join(F.broadcast(lookup), keys, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftline.functions.clean import strip, without_urls
-from driftline.operators.joins import lookup_join
+from driftline.operators.joins import fits_broadcast, lookup_join
 from driftline.operators.ranking import top_n_per_key
 from driftline.operators.vocabulary import clean_tokens, doc_terms, vocabulary
 from driftline.session import shuffle_width, stage
@@ -131,17 +131,10 @@ def _uniform(key: str, topics: int, seed: int) -> Column:
     return F.array(*[part / float(1 << 20) for part in parts])
 
 
-def _gram(factor: DataFrame, column: str, topics: int) -> list[list[float]]:
-    """Inner products of the factor's columns: topics x topics numbers, whatever its length."""
-    sums = {
-        (i, j): F.sum(F.col(column)[i] * F.col(column)[j]).alias(f"g{i}_{j}") for i in range(topics) for j in range(i, topics)
-    }
-    row = factor.agg(*sums.values()).first()
-    return [[float(row[f"g{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(topics)] for i in range(topics)]
-
-
-def _literal(matrix: list[list[float]]) -> Column:
-    return F.array(*[F.array(*[F.lit(value) for value in row]) for row in matrix])
+def _gram(column: str, topics: int) -> Column:
+    """Aggregate of a factor table: inner products of its columns, topics x topics numbers."""
+    x = F.col(column)
+    return F.array(*[F.array(*[F.sum(x[i] * x[j]) for j in range(topics)]) for i in range(topics)]).alias("gram")
 
 
 def _solve(start: Column, target: Column, gram: Column, rounds: int) -> Column:
@@ -172,21 +165,24 @@ def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 8, inner:
     Each round solves all document rows against fixed terms, then all terms
     against fixed documents: two joins and two combinable sums over the cells.
     The cells stay cached by document, so that the document half moves none of
-    them while the terms can be broadcast. The inner updates are local to a row.
-    Both factors are checkpointed; the driver holds only the topics x topics
-    inner products.
+    them while the terms can be broadcast. The inner updates are local to a row,
+    and both factors are checkpointed.
     """
     narrow = cells.select("doc_id", "term", F.col("weight").cast("double").alias("weight"))
     cells = narrow.repartition(shuffle_width(cells.sparkSession), "doc_id").persist()
     w = stage(cells.select("doc_id").distinct().withColumn("w", _uniform("doc_id", topics, seed)))
     h = stage(cells.select("term").distinct().withColumn("h", _uniform("term", topics, seed)))
+    few_terms = fits_broadcast(h)
+
+    def solved(factor, key, column, target, other):
+        rows = factor.join(target, key).withColumn("gram", other)
+        return stage(rows.select(key, _solve(F.col(column), F.col("target"), F.col("gram"), inner).alias(column)))
+
     for _ in range(rounds):
-        gram = _literal(_gram(h, "h", topics))
-        target = _project(lookup_join(cells, h, "term", "inner"), ["doc_id"], "h", topics)
-        w = stage(w.join(target, "doc_id").select("doc_id", _solve(F.col("w"), F.col("target"), gram, inner).alias("w")))
-        gram = _literal(_gram(w, "w", topics))
+        target = _project(lookup_join(cells, h, "term", "inner", small=few_terms), ["doc_id"], "h", topics)
+        w = solved(w, "doc_id", "w", target, h.agg(_gram("h", topics)).scalar())
         target = _project(cells.join(w, "doc_id"), ["term"], "w", topics)
-        h = stage(h.join(target, "term").select("term", _solve(F.col("h"), F.col("target"), gram, inner).alias("h")))
+        h = solved(h, "term", "h", target, w.agg(_gram("w", topics)).scalar())
     cells.unpersist()
     return Factors(w, h, topics)
 
@@ -197,7 +193,8 @@ def squared_error(cells: DataFrame, factors: Factors) -> float:
     fitted = F.aggregate(F.zip_with("w", "h", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     both = cells.join(factors.doc_topics, "doc_id").join(factors.topic_terms, "term")
     square, cross = both.agg(F.sum(F.col("weight") ** 2), F.sum(F.col("weight") * fitted)).first()
-    left, right = _gram(factors.doc_topics, "w", k), _gram(factors.topic_terms, "h", k)
+    left = factors.doc_topics.agg(_gram("w", k)).first().gram
+    right = factors.topic_terms.agg(_gram("h", k)).first().gram
     return square - 2 * cross + sum(left[i][j] * right[i][j] for i in range(k) for j in range(k))
 
 
@@ -219,9 +216,7 @@ def topics_over_time(cells: DataFrame, factors: Factors, bins: DataFrame, *, inn
     """
     k = factors.topics
     placed = stage(factors.doc_topics.join(bins.select("doc_id", "bin"), "doc_id"))
-    grams = placed.groupBy("bin").agg(
-        F.array(*[F.array(*[F.sum(F.col("w")[i] * F.col("w")[j]) for j in range(k)]) for i in range(k)]).alias("gram")
-    )
+    grams = placed.groupBy("bin").agg(_gram("w", k))
     joined = cells.select("doc_id", "term", "weight").join(placed, "doc_id")
     target = _project(joined, ["bin", "term"], "w", k)
     # One row per time bin.
