@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # a word a run of one or more, a sentence a stretch between . ! ? with a word.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 WORD_PATTERN = r"[\p{L}\p{N}_]+"
-SENTENCE_PATTERN = r"[^.!?]*[\p{L}\p{N}_][^.!?]*"
+SENTENCE_ENDS = r"[.!?]+"
 
 
 def tokens(text: Column) -> Column:
@@ -52,7 +52,7 @@ def word_count(text: Column) -> Column:
 
 
 def sentence_count(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(text, F.lit(SENTENCE_PATTERN), F.lit(0)))
+    return F.size(F.filter(F.split(text, SENTENCE_ENDS), lambda part: part.rlike(WORD_PATTERN)))
 
 
 def letter_count(text: Column) -> Column:

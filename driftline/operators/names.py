@@ -9,6 +9,7 @@ from driftline.functions.clean import strip
 from driftline.functions.text import word_count
 from driftline.operators.ranking import global_rank
 from driftline.schemas import require_columns
+from driftline.session import stage
 
 # Italian articles and simple prepositions.
 ARTICLES_AND_PREPOSITIONS = (
@@ -47,27 +48,36 @@ def length_stats(features: DataFrame) -> DataFrame:
     return wide.unpivot([], wide.columns, "metric", "value")
 
 
-def length_histogram(features: DataFrame, column: str, *, bins: int = 20) -> DataFrame:
-    """``bin, lower, upper, n`` for equal-width bins from the least to the greatest value.
+def length_histogram(features: DataFrame, columns=("word_count", "char_count"), *, bins: int = 20) -> DataFrame:
+    """``metric, bin, lower, upper, n``: equal-width bins of each column from its least to its greatest value.
 
     The last bin includes its upper edge. If all values are equal, the range is
     widened by a half on both sides.
     """
-    spread = features.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
+    pairs = F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("v")) for name in columns])
+    values = features.select(F.inline(pairs))
+    spread = values.groupBy("metric").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     flat = F.col("lo") == F.col("hi")
-    # One row; carries the edges to every bin.
-    edges = spread.select(
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    edges = stage(
+        spread.select(
+            "metric",
+            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        )
+    )
+    place = F.least(F.floor(F.lit(bins) * (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))) + 1, F.lit(bins))
+    # One row of edges per column.
+    counts = (
+        values.join(F.broadcast(edges), "metric")
+        .groupBy("metric", place.cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
-    place = F.least(F.floor(F.lit(bins) * (F.col(column) - lo) / (hi - lo)) + 1, F.lit(bins))
-    counts = features.groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
     return (
-        edges.select("*", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-        .join(counts, "bin", "left")
+        edges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
+        .join(counts, ["metric", "bin"], "left")
         .select(
+            "metric",
             "bin",
             (F.col("lo") + (F.col("bin") - 1) * width).alias("lower"),
             (F.col("lo") + F.col("bin") * width).alias("upper"),

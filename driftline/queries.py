@@ -370,10 +370,7 @@ def name_length_stats(spark, sf_dir):
 
 @query
 def length_histogram(spark, sf_dir):
-    features = _features(spark, sf_dir)
-    words = names.length_histogram(features, "word_count").withColumn("metric", F.lit("word_count"))
-    chars = names.length_histogram(features, "char_count").withColumn("metric", F.lit("char_count"))
-    return _rounded(words.unionByName(chars))
+    return _rounded(names.length_histogram(_features(spark, sf_dir)))
 
 
 @query
@@ -413,7 +410,8 @@ def stopwords(spark, sf_dir):
     """How often each stop word of the joined lists occurs in the documents."""
     unwanted = stop_words()
     found = F.filter(tokens(F.col("text")), lambda word: word.isin(unwanted))
-    words = fixtures.table(spark, sf_dir, "documents").select(F.explode(found).alias("word"))
+    documents = tables.spread(fixtures.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    words = documents.select(F.explode(found).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
@@ -561,7 +559,7 @@ def lda_topics(spark, sf_dir):
 
 
 def _texts(spark, sf_dir):
-    return fixtures.messages(spark, sf_dir).filter(F.col("text").isNotNull())
+    return tables.spread(fixtures.messages(spark, sf_dir), "message_id").filter(F.col("text").isNotNull())
 
 
 def _term_frequency(spark, sf_dir):
@@ -586,10 +584,9 @@ def message_lengths(spark, sf_dir):
 
 @query
 def message_length_histogram(spark, sf_dir):
-    lengths = textstats.text_lengths(_texts(spark, sf_dir))
-    words = names.length_histogram(lengths, "word_count").withColumn("metric", F.lit("word_count"))
-    chars = names.length_histogram(lengths, "char_count").withColumn("metric", F.lit("char_count"))
-    return _rounded(words.unionByName(chars))
+    # A few numbers per message; staged so that the texts are read once.
+    lengths = stage(textstats.text_lengths(_texts(spark, sf_dir)).select("word_count", "char_count"))
+    return _rounded(names.length_histogram(lengths))
 
 
 @query

@@ -106,9 +106,9 @@ def test_features_and_stats(spark):
 
 def test_histogram(spark):
     values = spark.createDataFrame([(v,) for v in [0, 1, 1, 5, 10]], "v int")
-    found = names.length_histogram(values, "v", bins=5).orderBy("bin").collect()
+    found = names.length_histogram(values, ["v"], bins=5).orderBy("bin").collect()
     assert [r.n for r in found] == [3, 0, 1, 0, 1] and found[0].lower == 0 and found[-1].upper == 10
-    flat = names.length_histogram(values.select(F.lit(3).alias("v")), "v", bins=2).orderBy("bin").collect()
+    flat = names.length_histogram(values.select(F.lit(3).alias("v")), ["v"], bins=2).orderBy("bin").collect()
     assert [(r.lower, r.upper, r.n) for r in flat] == [(2.5, 3.0, 0), (3.0, 3.5, 5)]
 
 
