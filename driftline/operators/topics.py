@@ -159,7 +159,7 @@ def _project(joined: DataFrame, by: list[str], column: str, topics: int) -> Data
     return joined.groupBy(*by).agg(F.array(*sums).alias("target"))
 
 
-def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 8, inner: int = 10, seed: int = SEED) -> Factors:
+def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 10, inner: int = 3, seed: int = SEED) -> Factors:
     """Non-negative factorisation of a sparse (doc_id, term, weight) table.
 
     Each round solves all document rows against fixed terms, then all terms
@@ -168,8 +168,9 @@ def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 8, inner:
     them while the terms can be broadcast. The inner updates are local to a row,
     and both factors are checkpointed.
     """
+    width = shuffle_width(cells.sparkSession)
     narrow = cells.select("doc_id", "term", F.col("weight").cast("double").alias("weight"))
-    cells = narrow.repartition(shuffle_width(cells.sparkSession), "doc_id").persist()
+    cells = narrow.repartition(width, "doc_id").persist()
     w = stage(cells.select("doc_id").distinct().withColumn("w", _uniform("doc_id", topics, seed)))
     h = stage(cells.select("term").distinct().withColumn("h", _uniform("term", topics, seed)))
     few_terms = fits_broadcast(h)
@@ -181,7 +182,8 @@ def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 8, inner:
     for _ in range(rounds):
         target = _project(lookup_join(cells, h, "term", "inner", small=few_terms), ["doc_id"], "h", topics)
         w = solved(w, "doc_id", "w", target, h.agg(_gram("h", topics)).scalar())
-        target = _project(cells.join(w, "doc_id"), ["term"], "w", topics)
+        # A fixed width, as the updates cost far more per row than the few bytes of a row suggest.
+        target = _project(cells.join(w, "doc_id"), ["term"], "w", topics).repartition(width, "term")
         h = solved(h, "term", "h", target, w.agg(_gram("w", topics)).scalar())
     cells.unpersist()
     return Factors(w, h, topics)
@@ -218,7 +220,7 @@ def topics_over_time(cells: DataFrame, factors: Factors, bins: DataFrame, *, inn
     placed = stage(factors.doc_topics.join(bins.select("doc_id", "bin"), "doc_id"))
     grams = placed.groupBy("bin").agg(_gram("w", k))
     joined = cells.select("doc_id", "term", "weight").join(placed, "doc_id")
-    target = _project(joined, ["bin", "term"], "w", k)
+    target = _project(joined, ["bin", "term"], "w", k).repartition(shuffle_width(cells.sparkSession), "bin", "term")
     # One row per time bin.
     fitted = target.join(F.broadcast(grams), "bin").select(
         "bin", "term", _solve(_uniform("term", k, SEED), F.col("target"), F.col("gram"), inner).alias("h")
