@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -37,7 +37,7 @@ def lookup_join(
     on: str | list[str],
     how: str = "left",
     *,
-    salts: int = 16,
+    salts: int = 8,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     small: bool | None = None,

@@ -59,7 +59,7 @@ def corpus_vocabulary(corpus: DataFrame, *, stop_words=(), min_df: float = MIN_D
 
 
 def corpus_terms(corpus: DataFrame, vocab: DataFrame, *, stop_words=()) -> DataFrame:
-    """``doc_id, term, tf`` within the vocabulary.
+    """``doc_id, term, tf`` and the other columns of ``vocab``, within that vocabulary.
 
     Texts are cut a second time here: all terms of all documents are several
     times the size of the texts and not worth storing.
@@ -75,7 +75,7 @@ def document_keywords(corpus: DataFrame, *, stop_words=(), min_df: float = MIN_D
     vocab = corpus_vocabulary(corpus, stop_words=stop_words, min_df=min_df)
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
     idf = stage(vocab.select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf")))
-    weighted = lookup_join(corpus_terms(corpus, vocab, stop_words=stop_words), idf, "term", "inner")
+    weighted = corpus_terms(corpus, idf, stop_words=stop_words)
     return top_terms_per_doc(
         weighted.select("doc_id", "term", F.round(F.col("tf") * F.col("idf"), 6).alias("weight")), n
     )

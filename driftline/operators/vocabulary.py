@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftline.functions.text import ngrams, tokens, without_words
-from driftline.operators.joins import lookup_join
+from driftline.operators.joins import fits_broadcast, lookup_join
 from driftline.session import shuffle_width
 
 
@@ -37,14 +37,20 @@ def doc_terms(
     ``docs`` has the key columns and ``text``; ``key[0]`` identifies a document.
     Texts are shuffled once, before they are cut into terms, by the document key:
     the count per document then needs no shuffle of the far larger term table.
-    With a vocabulary in ``within`` other terms are dropped before the count.
+    Of a vocabulary in ``within`` only the terms are kept, with its other columns.
+    A small one is looked up before the count, a large one after it, where there
+    are fewer rows to shuffle.
     """
     placed = docs.repartition(shuffle_width(docs.sparkSession), key[0])
     words = placed.select(*key, clean_tokens(F.col("text"), stop_words).alias("words"))
     grams = words.select(*key, F.explode(ngrams(F.col("words"), lowest, highest)).alias("term"))
-    if within is not None:
-        grams = lookup_join(grams, within.select("term"), "term", "left_semi")
-    return grams.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    count = F.count(F.lit(1)).alias("tf")
+    if within is None:
+        return grams.groupBy(*key, "term").agg(count)
+    if fits_broadcast(within):
+        extra = [name for name in within.columns if name != "term"]
+        return lookup_join(grams, within, "term", "inner", small=True).groupBy(*key, "term", *extra).agg(count)
+    return lookup_join(grams.groupBy(*key, "term").agg(count), within, "term", "inner", small=False)
 
 
 def text_terms(texts: DataFrame, **options) -> DataFrame:

@@ -42,7 +42,7 @@ def run(
     if top_n:
         vocab = vocab.orderBy(F.desc("frequency"), "term").limit(top_n)
     vocab = stage(vocab)
-    pairs = stage(vocabulary.cooccurrence(vocabulary.text_terms(texts, stop_words=unwanted, within=vocab)))
+    pairs = stage(vocabulary.cooccurrence(vocabulary.text_terms(texts, stop_words=unwanted, within=vocab.select("term"))))
     nodes = vocab.select(F.col("term").alias("token"))
 
     frequency = vocabulary.word_frequency(vocab)

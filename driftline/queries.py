@@ -337,7 +337,7 @@ def _name_vocabulary(spark, sf_dir):
 
 def _name_terms(spark, sf_dir):
     texts, vocab = _name_vocabulary(spark, sf_dir)
-    return vocabulary.text_terms(texts, stop_words=stop_words(), within=vocab), vocab
+    return vocabulary.text_terms(texts, stop_words=stop_words(), within=vocab.select("term")), vocab
 
 
 def _name_graph(spark, sf_dir):
@@ -513,7 +513,7 @@ def vector_keywords(spark, sf_dir):
     unwanted = stop_words(TOPIC_LANGUAGES)
     vocab = topics.corpus_vocabulary(corpus, stop_words=unwanted)
     return topics.vector_keywords(
-        topics.corpus_terms(corpus, vocab, stop_words=unwanted),
+        topics.corpus_terms(corpus, vocab.select("term"), stop_words=unwanted),
         fixtures.doc_vectors(spark, sf_dir, corpus),
         fixtures.term_vectors(spark, sf_dir, vocab),
     )
@@ -615,7 +615,7 @@ def message_word_centrality(spark, sf_dir):
     docs, single = corpus.select("doc_id", "text"), {"stop_words": stop_words(), "highest": 1}
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
     vocab = stage(vocabulary.vocabulary(docs, n_docs, min_df=MESSAGE_WORD_MIN_DF, max_df=NAME_MAX_DF, **single))
-    pairs = stage(vocabulary.cooccurrence(vocabulary.doc_terms(docs, ["doc_id"], within=vocab, **single)))
+    pairs = stage(vocabulary.cooccurrence(vocabulary.doc_terms(docs, ["doc_id"], within=vocab.select("term"), **single)))
     return _rounded(centrality.word_centrality(vocab.select(F.col("term").alias("token")), pairs))
 
 

@@ -81,6 +81,14 @@ def test_terms_within_a_vocabulary(spark):
     assert rows(found.groupBy("term").agg(F.sum("tf"))) == [("red fish", 3), ("red", 5)]
 
 
+def test_a_large_vocabulary_gives_the_same_terms(spark, monkeypatch):
+    vocab = spark.createDataFrame([("red", 1.5), ("red fish", 2.5)], "term string, idf double")
+    small = rows(vocabulary.doc_terms(docs(spark), ["doc_id"], stop_words=STOPS, within=vocab), "doc_id", "term", "idf", "tf")
+    monkeypatch.setattr(vocabulary, "fits_broadcast", lambda df: False)
+    large = rows(vocabulary.doc_terms(docs(spark), ["doc_id"], stop_words=STOPS, within=vocab), "doc_id", "term", "idf", "tf")
+    assert small == large and len(small) == 7
+
+
 def test_stop_words(spark):
     words = stop_words()
     assert words == sorted(set(words)) and len(words) > len(stop_words(["italian"])) > 200
