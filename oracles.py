@@ -339,7 +339,7 @@ def record(date: str = "date") -> str:
 # --- snowball ----------------------------------------------------------------
 
 
-def walk(name: str, start: str, first: int, last: int, seen: str = "") -> tuple[str, str]:
+def walk(name: str, start: str, first: int | str, last: int, seen: str = "") -> tuple[str, str]:
     skip = f" AND f.from_id NOT IN (SELECT channel_id FROM {seen})" if seen else ""
     return (
         name,
@@ -366,7 +366,7 @@ def snowball_ctes(max_depth: int = 2):
     )
 
 
-def channel_rows(reached: str, first: int, unresolved: str) -> str:
+def channel_rows(reached: str, first: int | str, unresolved: str) -> str:
     flags = "coalesce(broadcast, 0)::BIGINT AS broadcast, megagroup, verified, scam, fake"
     return f"""
 SELECT channel_id, coalesce(username, '') AS username, coalesce(title, '') AS title, (depth = {first})::BIGINT AS is_seed,
@@ -518,13 +518,18 @@ UNION ALL SELECT username, channel_id % 5 FROM channels WHERE channel_id % 2 = 0
         ("channels", CHANNELS),
         ("earlier", earlier),
     )
+    deepest = "(SELECT depth FROM deepest)"
     sql["snowball_resume"] = with_ctes(
-        channel_rows("more", 2, "(SELECT ref FROM resolved WHERE false)"),
+        channel_rows("more", deepest, f"(SELECT ref FROM resolved WHERE channel_id IS NULL AND {deepest} = 0)"),
         *snowball_ctes(max_depth=1),
         ("known", "SELECT channel_id, depth FROM reached JOIN channels USING (channel_id) WHERE username <> ''"),
-        ("at_start", "SELECT channel_id FROM known WHERE depth = 2"),
-        ("visited", "SELECT channel_id FROM known WHERE depth < 2"),
-        walk("walk_on", "at_start", 2, 3, "visited"),
+        (
+            "deepest",
+            "SELECT max(depth) AS depth FROM (SELECT depth FROM known UNION ALL SELECT 0 FROM resolved WHERE channel_id IS NULL)",
+        ),
+        ("at_start", f"SELECT channel_id FROM known WHERE depth = {deepest}"),
+        ("visited", f"SELECT channel_id FROM known WHERE depth < {deepest}"),
+        walk("walk_on", "at_start", deepest, 3, "visited"),
         ("more", "SELECT channel_id, min(depth) AS depth FROM walk_on GROUP BY channel_id"),
         recursive=True,
     )

@@ -64,7 +64,7 @@ def test_resume_goes_on_from_the_deepest_level(spark):
 
 
 def test_resume_seeds(spark):
-    earlier = spark.createDataFrame([("a", 2), ("a", 1), ("nan", 0), (None, 0), ("b", 3)], "username string, discovered_depth int")
+    earlier = spark.createDataFrame([("a", 2), ("a", 1), ("nan", 0), (None, 9), ("", 9), ("b", 3)], "username string, discovered_depth int")
     assert rows(snowball.resume_seeds(earlier)) == [("a", 1, 3), ("b", 3, 3)]
 
 
