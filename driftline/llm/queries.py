@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, codes, counts
+from driftline.llm import bpe, codes, counts, pii, quality
 from driftline.llm.ship import ship
 from driftline.session import working_path
 
@@ -29,6 +29,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return quality.judge(table(spark, sf_dir, "documents"), trusted)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     return counts.attribute(table(spark, sf_dir, "documents"), *paths)
@@ -43,6 +52,8 @@ def op9_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_pii": op2_pii,
     "op8_token_counts": op8_token_counts,
     "op9_codes": op9_codes,
+    "op10_quality": op10_quality,
 }
