@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, codes, counts, pii, quality
+from driftline.llm import bpe, codes, counts, langid, pii, quality, warc
 from driftline.llm.ship import ship
 from driftline.session import working_path
 
@@ -38,6 +38,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    predicted = langid.predict(docs, langid.learn(docs), keep=["doc_id"])
+    return predicted.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = working_path(spark, "archives")
+    files = warc.write_index(warc.write_archives(pages, folder), folder)
+    records = warc.read_records(warc.locate(warc.page_keys(pages), folder, files), folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     return counts.attribute(table(spark, sf_dir, "documents"), *paths)
@@ -53,6 +67,8 @@ def op9_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
+    "op4_langid": op4_langid,
+    "op5_warc": op5_warc,
     "op8_token_counts": op8_token_counts,
     "op9_codes": op9_codes,
     "op10_quality": op10_quality,
