@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, codes, counts, langid, pii, quality, warc
+from driftline.llm import bpe, codes, counts, jaccard, langid, pii, quality, warc
 from driftline.llm.ship import ship
 from driftline.session import working_path
 
@@ -52,6 +52,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), length=3, percent=90)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     return counts.attribute(table(spark, sf_dir, "documents"), *paths)
@@ -69,6 +73,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op4_langid": op4_langid,
     "op5_warc": op5_warc,
+    "op6_jaccard": op6_jaccard,
     "op8_token_counts": op8_token_counts,
     "op9_codes": op9_codes,
     "op10_quality": op10_quality,
