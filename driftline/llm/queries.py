@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, codes, counts, jaccard, langid, pii, quality, warc
+from driftline.llm import bpe, codes, counts, jaccard, langid, pii, quality, substrings, warc
 from driftline.llm.ship import ship
 from driftline.session import working_path
 
@@ -56,6 +56,11 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), length=3, percent=90)
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substrings.dedup(table(spark, sf_dir, "documents"), window=35)
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     return counts.attribute(table(spark, sf_dir, "documents"), *paths)
@@ -74,6 +79,7 @@ QUERIES = {
     "op4_langid": op4_langid,
     "op5_warc": op5_warc,
     "op6_jaccard": op6_jaccard,
+    "op7_substrings": op7_substrings,
     "op8_token_counts": op8_token_counts,
     "op9_codes": op9_codes,
     "op10_quality": op10_quality,
