@@ -1,15 +1,71 @@
-"""The corpus pipeline: stages over documents, each written and read again before the next."""
+"""The corpus pipeline: stages over documents, each written and read again before the next.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows it is given; all but
+the last return the columns they got.
+
+1. language     rows whose text has no language go: NULL, or without a letter
+2. near copies  of each component of documents that share 80 % of their five-word
+                shingles, the one with the least id stays; rows without an id stay
+3. benchmark    rows that hold a test item, whole or edited, go
+4. personal     every confirmed span is replaced by its kind in brackets, n_chars
+                follows; NULL texts stay NULL
+5. tokens       the ids of each text, their number, and digests of them and of
+                the text they decode to
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from driftline.llm import bpe, decontaminate, jaccard, langid, pii
+from driftline.llm.files import kept
+from driftline.llm.ship import ship
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    predicted = langid.predict(docs, langid.learn(docs), keep=docs.columns, lang_name="_predicted", score_name="_score")
+    return predicted.filter(F.col("_predicted") != langid.UNDETERMINED).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    placed = jaccard.near_duplicates(docs, length=5, percent=80)
+    gone = placed.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.mask(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    decoded = bpe.decode(bpe.encode(docs, path), path)
+    return bpe.digest(decoded)
+
 
-STAGES: list = []
+STAGES = [
+    ("language", language),
+    ("near copies", near_copies),
+    ("benchmark", benchmark),
+    ("personal", personal),
+    ("tokens", tokens),
+]
+# Learned languages, alignments and merges are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -324,3 +324,13 @@ def decode(encoded: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", i
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids"), pa.array(out, pa.string())], ["id", "ids", "text"])
 
     return named.mapInArrow(texts, f"id {kind}, ids array<int>, text string").withColumnRenamed("id", id_col)
+
+
+def digest(decoded: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+    """``id, n_tokens, ids_sha256, decoded_sha256`` of ids and the text they give."""
+    return decoded.select(
+        id_col,
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )

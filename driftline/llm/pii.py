@@ -165,6 +165,22 @@ def masked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, replaced).otherwise(text)
 
 
+def mask(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars", min_score: float = 0.0) -> DataFrame:
+    """``docs`` with every span masked and, where there is such a column, the new number of characters.
+
+    Texts without spans and NULL texts stay as they are, and so does their length.
+    """
+    text = F.col(text_col)
+    filled = F.coalesce(text, F.lit(""))
+    added = F.filter(_spans_of("iban", filled), lambda span: span["score"] >= min_score)
+    spans = F.array_sort(F.concat(*[_spans_of(kind, filled) for kind in BASE_KINDS], added))
+    found = docs.withColumn("__spans", spans)
+    changed = F.size("__spans") > 0
+    length = [F.when(changed, F.length(masked(text, F.col("__spans"))).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)).alias(length_col)] if length_col in docs.columns else []
+    others = [F.col(name) for name in docs.columns if name not in (text_col, length_col)]
+    return found.select(*others, masked(text, F.col("__spans")).alias(text_col), *length).select(*docs.columns)
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts, digest and list of the spans of each row."""
     base = F.filter("spans", lambda s: s["kind_no"] < len(BASE_KINDS))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, codes, counts, jaccard, langid, pii, quality, substrings, warc
+from driftline.llm import bpe, codes, counts, decontaminate, jaccard, langid, pii, quality, substrings, warc
 from driftline.llm.ship import ship
 from driftline.session import working_path
 
@@ -20,13 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-    )
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +32,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     predicted = langid.predict(docs, langid.learn(docs), keep=["doc_id"])
@@ -76,6 +74,7 @@ def op9_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
+    "op3_decontaminate": op3_decontaminate,
     "op4_langid": op4_langid,
     "op5_warc": op5_warc,
     "op6_jaccard": op6_jaccard,
