@@ -14,7 +14,7 @@ from driftline.llm.words import WordEnds, load_tokenizer, word_ends
 
 LEAF_CHARS = 16_384
 FIRST_WINDOW = 32
-EDGE_TOKENS = 256
+EDGE_TOKENS = 80
 
 
 class Piece:
@@ -38,25 +38,20 @@ def _whole(encoder: WordEnds, text: str, begin: int, end: int) -> Piece:
 
 
 def _edge_spans(encoder: WordEnds, text: str, begin: int, from_end: bool):
-    """Spans of the first or last ``EDGE_TOKENS`` tokens, word by word from that end."""
-    words = text.split(" ")
-    found, count, at = [], 0, begin + len(text) if from_end else begin
-    for word in reversed(words) if from_end else words:
+    """Spans of the first or last ``EDGE_TOKENS`` tokens, from as many whole words at that end as hold them."""
+    width = EDGE_TOKENS
+    while True:
         if from_end:
-            at -= len(word)
-        if word:
-            _, starts, ends = encoder.spans(word)
-            found.append((starts + at, ends + at))
-            count += len(starts)
-        at += -1 if from_end else len(word) + 1
-        if count >= EDGE_TOKENS:
-            break
-    if from_end:
-        found.reverse()
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    starts, ends = (np.concatenate(part) for part in zip(*found))
-    return (starts[-EDGE_TOKENS:], ends[-EDGE_TOKENS:]) if from_end else (starts[:EDGE_TOKENS], ends[:EDGE_TOKENS])
+            at = 0 if width >= len(text) else text.rfind(" ", 0, len(text) - width) + 1
+            _, starts, ends = encoder.spans(text[at:])
+            starts, ends = starts + begin + at, ends + begin + at
+        else:
+            upto = len(text) if width >= len(text) else text.find(" ", width) % (len(text) + 1)
+            at, (_, starts, ends) = len(text) - upto, encoder.spans(text[:upto])
+            starts, ends = starts + begin, ends + begin
+        if len(starts) >= EDGE_TOKENS or not at:
+            return (starts[-EDGE_TOKENS:], ends[-EDGE_TOKENS:]) if from_end else (starts[:EDGE_TOKENS], ends[:EDGE_TOKENS])
+        width *= 2
 
 
 def encode_leaf(encoder: WordEnds, text: str, begin: int, end: int) -> Piece:

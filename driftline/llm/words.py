@@ -55,8 +55,9 @@ class WordEnds:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [text.split(" ") for text in texts]
         rare = self.learn(set().union(*cut)) if cut else {}
-        lookup = (self.known | rare if rare else self.known).__getitem__
-        return [np.frombuffer(b"".join(map(lookup, words)), dtype="<u4") for words in cut]
+        known = self.known.__getitem__
+        either = (lambda word: rare[word] if word in rare else known(word)) if rare else known
+        return [np.frombuffer(b"".join(map(either, words)), dtype="<u4") for words in cut]
 
     def spans(self, text: str):
         """Ids with the first and the next character of each."""
