@@ -174,11 +174,13 @@ def mask(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars"
     filled = F.coalesce(text, F.lit(""))
     added = F.filter(_spans_of("iban", filled), lambda span: span["score"] >= min_score)
     spans = F.array_sort(F.concat(*[_spans_of(kind, filled) for kind in BASE_KINDS], added))
-    found = docs.withColumn("__spans", spans)
-    changed = F.size("__spans") > 0
-    length = [F.when(changed, F.length(masked(text, F.col("__spans"))).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)).alias(length_col)] if length_col in docs.columns else []
-    others = [F.col(name) for name in docs.columns if name not in (text_col, length_col)]
-    return found.select(*others, masked(text, F.col("__spans")).alias(text_col), *length).select(*docs.columns)
+    # Named apart from the columns: within one select a lambda would see the new text.
+    found = docs.withColumn("__spans", spans).withColumn("__masked", masked(text, F.col("__spans")))
+    columns = {text_col: F.col("__masked")}
+    if length_col in docs.columns:
+        length = F.length("__masked").cast(docs.schema[length_col].dataType)
+        columns[length_col] = F.when(F.size("__spans") > 0, length).otherwise(F.col(length_col))
+    return found.withColumns(columns).select(*docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:
