@@ -93,10 +93,17 @@ def iso_utc(moment: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+# A day in long or basic form, then a time of day with an offset, or nothing.
+ISO_MOMENT = r"^\d{4}(-\d{2}-\d{2}|\d{4})([T ]\d.*)?$"
+
+
 def date_bound(raw: Column, *, is_end: bool) -> Column:
-    """Timestamp of an ISO date bound; a bare date means its first or last second."""
-    value = strip(raw)
-    moment = F.try_to_timestamp(value)
+    """Timestamp of an ISO date bound; a bare date, ``2024-01-31`` or ``20240131``, means its first or last second.
+
+    Anything that names no whole day is NULL.
+    """
+    value = F.regexp_replace(strip(raw), r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
+    moment = F.when(strip(raw).rlike(ISO_MOMENT), F.try_to_timestamp(value))
     if is_end:
         last_second = F.expr("INTERVAL 23 HOURS 59 MINUTES 59 SECONDS")
         return F.when(F.length(value) == 10, moment + last_second).otherwise(moment)

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 
+def _bytes(value: Column, kind: DataType) -> Column:
+    """About how many bytes a value takes, with the texts inside arrays and structs."""
+    if isinstance(kind, (StringType, BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, ArrayType):
+        if isinstance(kind.elementType, (StringType, BinaryType, ArrayType, StructType)):
+            size = F.aggregate(value, F.lit(0).cast("long"), lambda total, entry: total + 8 + _bytes(entry, kind.elementType))
+        else:
+            size = F.size(value) * 8
+    elif isinstance(kind, StructType):
+        size = sum((_bytes(value[field.name], field.dataType) for field in kind.fields), F.lit(8))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("long"), F.lit(0).cast("long"))
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` and say whether it may be sent whole to every executor.
 
@@ -18,15 +34,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     """
     width = F.lit(0).cast("long")
     for field in df.schema.fields:
-        if isinstance(field.dataType, StringType):
-            size = F.octet_length(field.name)
-        elif isinstance(field.dataType, ArrayType):
-            size = F.size(field.name) * 8
-        elif isinstance(field.dataType, StructType):
-            size = F.lit(8 * len(field.dataType.fields))
-        else:
-            size = F.lit(8)
-        width = width + F.coalesce(size, F.lit(0))
+        width = width + _bytes(F.col(field.name), field.dataType)
     rows, total = df.agg(F.count(F.lit(1)), F.sum(width)).first()
     return rows <= max_rows and (total or 0) <= max_bytes
 
@@ -45,7 +53,7 @@ def lookup_join(
     """Join ``facts`` to ``lookup``; a hot key in ``facts`` never lands in one task.
 
     A lookup table measured to be small is broadcast. Any other is repeated once
-    per salt, and each fact row goes to the copy its own hash picks, so that a
+    per salt, and each fact row goes to the copy its place picks, so that a
     key with a third of all rows is spread over ``salts`` tasks. A caller that
     joins equally large tables again and again passes its own check in ``small``.
     """
@@ -54,6 +62,7 @@ def lookup_join(
         small = fits_broadcast(lookup, max_rows, max_bytes)
     if small:
         return facts.join(F.broadcast(lookup), keys, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
+    # The place of a row in its partition: equal rows are spread as well.
+    salted = facts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, keys + ["_salt"], how).drop("_salt")

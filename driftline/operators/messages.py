@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.functions.clean import channel_name, clean_cell, forward_source
+from driftline.functions.clean import channel_name, forward_source, strip
 from driftline.operators.joins import lookup_join
 from driftline.operators.ranking import top_n_per_key, top_n_wide
 from driftline.schemas import FORWARD_HEADER, MESSAGES, require_columns
@@ -18,13 +18,10 @@ def newest_first() -> list[Column]:
 
 
 def channel_list(channels: DataFrame, column: str = "username") -> DataFrame:
-    """Distinct bare channel names found in one column of a channel table."""
+    """Distinct bare channel names found in one column of a channel table; cells that leave no name are passed over."""
     require_columns(channels, [column])
-    return (
-        channels.filter(clean_cell(F.col(column)).isNotNull())
-        .select(channel_name(F.col(column).cast("string")).alias("channel_username"))
-        .distinct()
-    )
+    named = channels.select(channel_name(F.col(column).cast("string")).alias("channel_username"))
+    return named.filter(F.col("channel_username") != "").distinct()
 
 
 def pending_channels(channels: DataFrame, processed: DataFrame) -> DataFrame:
@@ -158,7 +155,7 @@ def collection_totals(records: DataFrame) -> DataFrame:
 
 def top_forward_sources(records: DataFrame, n: int = 3) -> DataFrame:
     return (
-        records.filter(clean_cell(F.col("forward_from_chat")).isNotNull())
+        records.filter(strip(F.col("forward_from_chat")) != "")
         .groupBy("forward_from_chat")
         .agg(F.count(F.lit(1)).alias("messages"))
         .orderBy(F.desc("messages"), "forward_from_chat")

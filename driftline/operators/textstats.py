@@ -14,9 +14,10 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def text_lengths(messages: DataFrame) -> DataFrame:
-    """Words, characters, sentences and letters of each message that has a text."""
+    """Words, characters, sentences and letters of each message that has a text; ids are unique within a channel."""
     text = F.col("text")
     return messages.filter(text.isNotNull()).select(
+        "channel_username",
         "message_id",
         word_count(text).alias("word_count"),
         F.length(text).alias("char_count"),
@@ -27,6 +28,7 @@ def text_lengths(messages: DataFrame) -> DataFrame:
 
 def sentence_length(lengths: DataFrame) -> DataFrame:
     return lengths.select(
+        "channel_username",
         "message_id",
         "word_count",
         "sentence_count",
@@ -36,6 +38,7 @@ def sentence_length(lengths: DataFrame) -> DataFrame:
 
 def letters_per_word(lengths: DataFrame) -> DataFrame:
     return lengths.select(
+        "channel_username",
         "message_id",
         "word_count",
         "letter_count",
@@ -46,4 +49,4 @@ def letters_per_word(lengths: DataFrame) -> DataFrame:
 def gulpease(lengths: DataFrame) -> DataFrame:
     """Gulpease index: 89 + (300 * sentences - 10 * letters) / words."""
     score = 89 + ratio(300 * F.col("sentence_count") - 10 * F.col("letter_count"), F.col("word_count"))
-    return lengths.select("message_id", score.alias("gulpease"))
+    return lengths.select("channel_username", "message_id", score.alias("gulpease"))

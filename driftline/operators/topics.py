@@ -22,24 +22,32 @@ MIN_DF = 5
 BINS = 10
 SEED = 42
 
+# The factorisation ends when a round gains no more than this share, at the latest after so many rounds.
+TOLERANCE = 1e-3
+ROUNDS = 60
+
 EPSILON = 1e-12
 
 
 def topic_corpus(messages: DataFrame) -> DataFrame:
-    """``doc_id, date, text``: the first message of each text, dated, not blank, without web addresses.
+    """``doc_id, channel_username, message_id, date, text``: the first message of each text, dated, not blank, without web addresses.
 
-    Copies are merged by a digest of the whole text with a combinable minimum,
-    so a text with any number of copies is never gathered in one place. The date
-    is looked at after the copies are merged, as the first copy decides.
+    A document is a distinct text, and the digest of the text is its id: message
+    ids say nothing outside their channel. The first message is picked by its
+    numbers and names alone, a combinable minimum, so a text with any number of
+    copies is never gathered in one place. The date is looked at after the copies
+    are merged, as the first copy decides.
     """
+    keyed = messages.filter(F.col("text").isNotNull()).withColumn("doc_id", F.sha2("text", 256))
     first = F.min(F.struct("message_id", "channel_username", "date", "text")).alias("first")
     return (
-        messages.filter(F.col("text").isNotNull())
-        .groupBy(F.sha2("text", 256).alias("digest"))
+        keyed.groupBy("doc_id")
         .agg(first)
         .filter(F.col("first.date").isNotNull() & (strip(F.col("first.text")) != ""))
         .select(
-            F.col("first.message_id").alias("doc_id"),
+            "doc_id",
+            F.col("first.channel_username").alias("channel_username"),
+            F.col("first.message_id").alias("message_id"),
             F.col("first.date").alias("date"),
             without_urls(F.col("first.text")).alias("text"),
         )
@@ -159,11 +167,14 @@ def _project(joined: DataFrame, by: list[str], column: str, topics: int) -> Data
     return joined.groupBy(*by).agg(F.array(*sums).alias("target"))
 
 
-def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 10, inner: int = 3, seed: int = SEED) -> Factors:
+def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = ROUNDS, tolerance: float = TOLERANCE, inner: int = 3, seed: int = SEED) -> Factors:
     """Non-negative factorisation of a sparse (doc_id, term, weight) table.
 
     Each round solves all document rows against fixed terms, then all terms
-    against fixed documents: two joins and two combinable sums over the cells.
+    against fixed documents: two joins and two combinable sums over the cells. It
+    ends when a round lowers the squared error by no more than ``tolerance`` of
+    the squared weights, or after ``rounds``, which bounds the work where the error
+    falls slowly for long.
     The cells stay cached by document, so that the document half moves none of
     them while the terms can be broadcast. The inner updates are local to a row,
     and both factors are checkpointed.
@@ -179,12 +190,22 @@ def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = 10, inner
         rows = factor.join(target, key).withColumn("gram", other)
         return stage(rows.select(key, _solve(F.col(column), F.col("target"), F.col("gram"), inner).alias(column)))
 
+    square = cells.agg(F.sum(F.col("weight") ** 2)).first()[0] or 0.0
+    before = None
     for _ in range(rounds):
         target = _project(lookup_join(cells, h, "term", "inner", small=few_terms), ["doc_id"], "h", topics)
         w = solved(w, "doc_id", "w", target, h.agg(_gram("h", topics)).scalar())
         # A fixed width, as the updates cost far more per row than the few bytes of a row suggest.
-        target = _project(cells.join(w, "doc_id"), ["term"], "w", topics).repartition(width, "term")
+        target = stage(_project(cells.join(w, "doc_id"), ["term"], "w", topics).repartition(width, "term"))
         h = solved(h, "term", "h", target, w.agg(_gram("w", topics)).scalar())
+        # |X - WH|^2 = |X|^2 - 2 <W'X, H> + <W'W, HH'>: the sums of this round hold all of it but HH'.
+        cross = h.join(target, "term").agg(F.sum(_dot(F.col("h"), F.col("target")))).first()[0] or 0.0
+        of_docs, of_terms = w.agg(_gram("w", topics)).first().gram, h.agg(_gram("h", topics)).first().gram
+        product = sum(of_docs[i][j] * of_terms[i][j] for i in range(topics) for j in range(topics)) if cross else 0.0
+        error = square - 2 * cross + product
+        if before is not None and before - error <= tolerance * square:
+            break
+        before = error
     cells.unpersist()
     return Factors(w, h, topics)
 
@@ -239,14 +260,14 @@ def top_documents(docs: DataFrame, n: int = 10) -> DataFrame:
 
 
 def lda_topics(corpus: DataFrame, *, stop_words=(), min_df: float = 0.01, topics: int = TOPICS, n: int = 10, seed: int = SEED) -> DataFrame:
-    """``topic, rank, term, weight`` by latent Dirichlet allocation.
+    """``topic, rank, term, weight`` by latent Dirichlet allocation; every round reads all texts.
 
     A fractional ``min_df`` bounds the vocabulary, which the model keeps whole:
     at most (mean distinct words per text) / min_df words.
     """
     words = corpus.select("doc_id", clean_tokens(F.col("text"), stop_words).alias("words"))
     counter = CountVectorizer(inputCol="words", outputCol="features", minDF=min_df, vocabSize=(1 << 31) - 1).fit(words)
-    model = LDA(k=topics, seed=seed, maxIter=10).fit(counter.transform(words).select("features"))
+    model = LDA(k=topics, seed=seed, maxIter=10, subsamplingRate=1.0).fit(counter.transform(words).select("features"))
     names = words.sparkSession.createDataFrame(list(enumerate(counter.vocabulary)), "at int, term string")
     entry = F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "entry")
     return (

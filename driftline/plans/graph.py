@@ -17,13 +17,16 @@ def run(
     *,
     min_weight: int = 1,
     include_unresolved: bool = False,
+    targets=(),
     run_id: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write ``relation_matrix`` (long form) and ``graph`` below ``output``; return the summaries."""
+    """Write ``relation_matrix`` (long form, and a wide one of the ``targets`` named) and ``graph`` below ``output``; return the summaries."""
     run_id = run_id or run_stamp()
     edges = stage(graph.forward_edges(read_relations(spark, relations), include_unresolved=include_unresolved))
     kept = graph.graph_edges(edges, min_weight=min_weight)
     write_csv(graph.relation_matrix_long(edges).orderBy("source", "target"), f"{output}/relation_matrix", run_id=run_id)
+    if targets:
+        write_csv(graph.relation_matrix(edges, targets), f"{output}/relation_matrix_wide", run_id=run_id)
     write_graph(graph.export_nodes(kept), graph.export_edges(graph.sorted_edges(kept)), f"{output}/graph", run_id=run_id)
     return {
         "matrix": graph.matrix_summary(edges),

@@ -55,13 +55,15 @@ def run(
     keywords = [word.strip() for word in keywords if word.strip()] or [""]
     first, last = bounds(spark, start, end)
 
-    wanted = messages.channel_list(read_channels(spark, channels), column)
+    wanted = stage(messages.channel_list(read_channels(spark, channels), column))
+    if wanted.isEmpty():
+        raise ValueError("the channel list is empty")
     trace = f"{output}/elaborated_channels"
     if resume:
         done = read_csv(spark, trace, schemas.CHANNEL_TRACE)
         wanted = messages.pending_channels(wanted, done)
     records = stage(
-        messages.collect_messages(posts, stage(wanted), keywords=keywords, start=first, end=last, limit=limit)
+        messages.collect_messages(posts, stage(wanted) if resume else wanted, keywords=keywords, start=first, end=last, limit=limit)
     )
     write_csv(records, f"{output}/messages", run_id=run_id)
     write_appended(messages.channel_trace(records), trace, run_id)

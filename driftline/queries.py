@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache, wraps
+from functools import wraps
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from driftline.streaming import collection
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Parameters of the queries.
+MATRIX_TARGETS = ("src0", "src12", "src16", "src4", "src8")
 SEEDS = ("101", "@ch_102", "https://t.me/no_such_channel")
 MAX_DEPTH = 2
 POSTS_PER_CHANNEL = 5
@@ -88,7 +89,14 @@ def relation_matrix_long(spark, sf_dir):
 
 @query
 def relation_matrix(spark, sf_dir):
-    return graph.relation_matrix(graph.forward_edges(fixtures.chat_relations(spark, sf_dir)))
+    return graph.relation_matrix(graph.forward_edges(fixtures.chat_relations(spark, sf_dir)), MATRIX_TARGETS)
+
+
+@query
+def relation_rows(spark, sf_dir):
+    """The rows of the whole matrix, each written as text."""
+    cells = F.transform(F.map_entries("cells"), lambda cell: F.concat_ws("=", cell["key"], cell["value"]))
+    return graph.relation_rows(_edges(spark, sf_dir)).select("source", F.array_join(cells, "|").alias("cells"))
 
 
 @query
@@ -300,12 +308,13 @@ def relations_scan(spark, sf_dir):
 
 @query
 def csv_roundtrip(spark, sf_dir):
-    """Messages with quotes and line breaks written twice as runs, one run read back."""
+    """Messages with quotes and line breaks appended by two runs, all read back."""
     path = working_path(spark, "messages")
     records = messages.message_record(fixtures.messages(spark, sf_dir))
-    write_appended(records.limit(0), path, "a")
-    write_appended(records, path, "b")
-    read = tables.read_csv(spark, f"{path}/run_id=b", MESSAGES)
+    even = F.col("message_id") % 2 == 0
+    write_appended(records.filter(even), path, "a")
+    write_appended(records.filter(~even), path, "b")
+    read = tables.read_csv(spark, [f"{path}/run_id=a", f"{path}/run_id=b"], MESSAGES)
     return read.withColumn("date", F.when(F.col("date").isNotNull(), clean.iso_utc(F.col("date"))))
 
 
@@ -485,18 +494,13 @@ def _keywords(corpus):
     return topics.document_keywords(corpus, stop_words=stop_words(TOPIC_LANGUAGES))
 
 
-@lru_cache(maxsize=4)
-def _fitted(session_id, sf_dir, spark):
+def _model(spark, sf_dir):
+    """Staged corpus, cells and the factors fitted on them."""
     corpus = _corpus(spark, sf_dir)
     cells = stage(_keywords(corpus))
     return corpus, cells, topics.factorise(cells)
 
 
-def _model(spark, sf_dir):
-    """One fit per session and folder, staged, for all queries that look into it."""
-    return _fitted(spark.sparkContext.applicationId, sf_dir, spark)
-
-
 @query
 def topic_corpus(spark, sf_dir):
     return _corpus(spark, sf_dir).withColumn("date", clean.iso_utc(F.col("date")))
@@ -642,9 +646,16 @@ def stream_collect(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """The same messages arriving on two streams are kept once."""
-    twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
-    return _drain(collection.deduplicated(collection.collected(twice)), spark, "deduplicated")
+    """Four files arrive one by one, the late half of the ids first, each half twice; every message is kept once."""
+    events = fixtures.table(spark, sf_dir, "events")
+    inbox, target, keys, log = (working_path(spark, name) for name in ("inbox", "first", "first-keys", "first-log"))
+    middle = events.agg(F.avg("event_id")).scalar() or 0
+    for late in (True, True, False, False):
+        part = events.filter(F.col("event_id") > middle) if late else events.filter(F.col("event_id") <= middle)
+        part.write.mode("append").parquet(inbox)
+        records = collection.collected(_event_stream(spark, sf_dir, inbox))
+        collection.append_new(records, target, keys, log).awaitTermination()
+    return spark.read.parquet(target).drop("batch").withColumn("date", clean.iso_utc(F.col("date")))
 
 
 @query

@@ -207,10 +207,10 @@ def term_bucket(term, size):
 
 
 def doc_vectors(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
-    """Vector of each document: embedding number doc_id modulo their count."""
+    """Vector of each document: embedding number message_id modulo their count."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("doc_vector"))
     size = vectors.agg(F.count(F.lit(1))).scalar()
-    return docs.select("doc_id", (F.col("doc_id") % size).alias("vec_id")).join(vectors, "vec_id").drop("vec_id")
+    return docs.select("doc_id", (F.col("message_id") % size).alias("vec_id")).join(vectors, "vec_id").drop("vec_id")
 
 
 def term_vectors(spark: SparkSession, sf_dir: str, terms: DataFrame) -> DataFrame:

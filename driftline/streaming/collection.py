@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from driftline.operators.messages import in_date_range, message_record
+from driftline.session import stage
 
 SAVE_INTERVAL_SECONDS = 30
 
@@ -22,20 +23,44 @@ def message_stream(spark: SparkSession, folder: str, schema: StructType, *, file
     return reader.parquet(folder)
 
 
-def collected(posts: DataFrame, *, start=None, end=None) -> DataFrame:
-    """Message records of the posts with text and within the dates."""
-    wanted = posts.filter((F.coalesce("text", F.lit("")) != "") & in_date_range("date", start, end))
-    return message_record(wanted)
+def collected(posts: DataFrame, *, start=None, end=None, keywords=("",)) -> DataFrame:
+    """Message records of the posts with text, within the dates, that hold one of the keywords ('' is in every text)."""
+    text = F.coalesce("text", F.lit(""))
+    found = F.lit(False)
+    for keyword in keywords:
+        found = found | F.contains(F.lower(text), F.lower(F.lit(keyword)))
+    return message_record(posts.filter((text != "") & in_date_range("date", start, end) & found))
 
 
-def deduplicated(records: DataFrame, *, delay: str = "30 days") -> DataFrame:
-    """First arrival of each (channel, message) within ``delay`` of its date.
+def append_new(records: DataFrame, target: str, keys: str, checkpoint: str, *, buckets: int = 64, interval_seconds: int | None = None) -> StreamingQuery:
+    """Append the first arrival of each (channel, message), however late a copy arrives.
 
-    State is bounded by the delay. A row older than that counts as late and is
-    dropped, so the delay must cover the disorder of the files; a backfill goes
-    through the batch operator, which has no such bound.
+    The keys written so far are a table of their own, by bucket of the channel and
+    batch. A batch drops repeats within itself and rows whose key is stored in the
+    buckets it touches, then writes its rows and keys under its number; run again
+    after a failure, it does not look at its own keys and replaces what it wrote.
+    There is no bound in time and no state but the tables.
     """
-    return records.withWatermark("date", delay).dropDuplicatesWithinWatermark(["channel_username", "message_id"])
+    named = ["channel_username", "message_id"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates(named).withColumn("bucket", F.pmod(F.xxhash64("channel_username"), F.lit(buckets)).cast("int"))
+        if batch_id:
+            kinds = ", ".join(f"{name} {batch.schema[name].dataType.simpleString()}" for name in named)
+            stored = spark.read.schema(f"{kinds}, batch long, bucket int").parquet(keys).filter(F.col("batch") < batch_id)
+            old = stored.alias("old")
+            same = [F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}")) for name in named]
+            fresh = fresh.alias("new").join(old, [F.col("new.bucket") == F.col("old.bucket"), *same], "left_anti")
+        fresh = stage(fresh)
+        fresh.drop("bucket").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        fresh.select(*named, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{keys}/batch={batch_id}")
+
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**_trigger(interval_seconds)).start()
+
+
+def _trigger(interval_seconds: int | None) -> dict:
+    return {"processingTime": f"{interval_seconds} seconds"} if interval_seconds else {"availableNow": True}
 
 
 def append(records: DataFrame, target: str, checkpoint: str, *, interval_seconds: int | None = None) -> StreamingQuery:
@@ -44,13 +69,12 @@ def append(records: DataFrame, target: str, checkpoint: str, *, interval_seconds
     The checkpoint and the sink's own log make a restart go on where the last
     run stopped, with every row written exactly once.
     """
-    trigger = {"processingTime": f"{interval_seconds} seconds"} if interval_seconds else {"availableNow": True}
     return (
         records.writeStream.format("parquet")
         .outputMode("append")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**_trigger(interval_seconds))
         .start()
     )
 
@@ -65,8 +89,7 @@ def append_trace(records: DataFrame, target: str, checkpoint: str, *, interval_s
         counts = batch.groupBy("channel_username").agg(F.count(F.lit(1)).alias("messages_written"))
         counts.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    trigger = {"processingTime": f"{interval_seconds} seconds"} if interval_seconds else {"availableNow": True}
-    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**_trigger(interval_seconds)).start()
 
 
 def read_trace(spark: SparkSession, target: str) -> DataFrame:

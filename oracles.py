@@ -1,16 +1,12 @@
 """The queries as DuckDB SQL over the same tables, for the side-by-side check.
 
 Written apart from the Spark code; only the query parameters and the stop-word
-lists are shared. The lists are read from the archive MLlib ships them in.
+lists are shared.
 """
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
+from driftline.functions.stopwords import stop_words
 
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 NON_WS = r"[^\s\x0b\x1c-\x1f\x85\p{Z}]"
@@ -20,16 +16,6 @@ SENTENCE = r"[^.!?]*[\p{L}\p{N}_][^.!?]*"
 NAME_LANGUAGES = ("italian", "english", "russian", "german", "spanish", "french")
 
 
-def stop_words(languages) -> list[str]:
-    (jar,) = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    words: set[str] = set()
-    with zipfile.ZipFile(jar) as archive:
-        for language in languages:
-            text = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-            words.update(text.splitlines())
-    return sorted(words)
-
-
 def _word_list(languages) -> str:
     return "[" + ", ".join("'" + word.replace("'", "''") + "'" for word in stop_words(languages)) + "]"
 
@@ -295,7 +281,7 @@ GROUP BY bin, lo, hi"""
 
 
 CORPUS = f"""
-SELECT message_id AS doc_id, date,
+SELECT sha256(text) AS doc_id, channel_username, message_id, date,
   regexp_replace(text, 'http{NON_WS}+|www{NON_WS}+|https{NON_WS}+', '', 'g') AS text
 FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY message_id) AS k FROM messages WHERE text IS NOT NULL)
 WHERE k = 1 AND date IS NOT NULL AND {strip('text')} <> ''"""
@@ -311,7 +297,7 @@ def corpus_ctes():
 
 
 LENGTHS = f"""
-SELECT message_id, len(regexp_extract_all(text, '{WORD}'))::BIGINT AS word_count, length(text)::BIGINT AS char_count,
+SELECT channel_username, message_id, len(regexp_extract_all(text, '{WORD}'))::BIGINT AS word_count, length(text)::BIGINT AS char_count,
   len(regexp_extract_all(text, '{SENTENCE}'))::BIGINT AS sentence_count,
   length(regexp_replace(text, '[^\\p{{L}}]', '', 'g'))::BIGINT AS letter_count
 FROM messages WHERE text IS NOT NULL"""
@@ -403,6 +389,9 @@ def build() -> dict[str, str]:
         f"SELECT 'channel_id:' || (message_id % 9) AS source, {cells} FROM messages WHERE is_forwarded GROUP BY 1",
         ("messages", MESSAGES),
     )
+    sql["relation_rows"] = with_ctes(
+        "SELECT source, string_agg(target || '=' || weight, '|' ORDER BY target) AS cells FROM edges GROUP BY source", *graph_ctes()
+    )
     sql["matrix_summary"] = with_ctes(
         "SELECT count(DISTINCT source)::BIGINT AS sources, count(DISTINCT target)::BIGINT AS targets, "
         "count(*)::BIGINT AS non_zero_cells FROM edges",
@@ -455,7 +444,7 @@ WHERE k = 1""",
 
     # messages
     sql["channel_list"] = with_ctes(
-        f"SELECT DISTINCT {strip(no_ats)} AS channel_username FROM raw_refs WHERE {cell('raw')} IS NOT NULL", ("raw_refs", RAW_REFS)
+        f"SELECT DISTINCT {strip(no_ats)} AS channel_username FROM raw_refs WHERE {strip(no_ats)} <> ''", ("raw_refs", RAW_REFS)
     )
     sql["pending_channels"] = with_ctes(
         "SELECT DISTINCT username AS channel_username FROM channels WHERE username <> '' AND channel_id NOT IN "
@@ -617,7 +606,7 @@ UNION ALL SELECT username, channel_id % 5 FROM channels WHERE channel_id % 2 = 0
 
     # topics
     corpus = corpus_ctes()
-    sql["topic_corpus"] = with_ctes(f"SELECT doc_id, {iso('date')} AS date, text FROM corpus", *corpus[:2])
+    sql["topic_corpus"] = with_ctes(f"SELECT doc_id, channel_username, message_id, {iso('date')} AS date, text FROM corpus", *corpus[:2])
     weighted = (
         "SELECT doc_id, term, round(tf * (ln((1 + (SELECT count(*) FROM corpus)) / (1 + df)::DOUBLE) + 1), 6) AS weight "
         "FROM terms JOIN vocab USING (term)"
@@ -629,7 +618,7 @@ UNION ALL SELECT username, channel_id % 5 FROM channels WHERE channel_id % 2 = 0
     sql["topic_keywords"] = with_ctes(top, *corpus, ("weighted", weighted))
     cosine = (
         "SELECT doc_id, term, round(list_cosine_similarity(dv.embedding::DOUBLE[], tv.embedding::DOUBLE[]), 6) AS weight "
-        "FROM terms JOIN vocab USING (term) JOIN embeddings dv ON dv.vec_id = doc_id % (SELECT count(*) FROM embeddings) "
+        "FROM terms JOIN vocab USING (term) JOIN corpus USING (doc_id) JOIN embeddings dv ON dv.vec_id = message_id % (SELECT count(*) FROM embeddings) "
         "JOIN embeddings tv ON tv.vec_id = ('0x' || substr(md5(term), 1, 8))::BIGINT % (SELECT count(*) FROM embeddings)"
     )
     sql["vector_keywords"] = with_ctes(top, *corpus, ("weighted", cosine))
@@ -656,17 +645,17 @@ UNION ALL SELECT username, channel_id % 5 FROM channels WHERE channel_id % 2 = 0
     sql["message_lengths"] = with_ctes("SELECT * FROM lengths", *lengths)
     sql["message_length_histogram"] = with_ctes(histogram("lengths"), *lengths)
     sql["sentence_length"] = with_ctes(
-        "SELECT message_id, word_count, sentence_count, CASE WHEN sentence_count > 0 THEN round(word_count / sentence_count, 6) END "
+        "SELECT channel_username, message_id, word_count, sentence_count, CASE WHEN sentence_count > 0 THEN round(word_count / sentence_count, 6) END "
         "AS words_per_sentence FROM lengths",
         *lengths,
     )
     sql["letters_per_word"] = with_ctes(
-        "SELECT message_id, word_count, letter_count, CASE WHEN word_count > 0 THEN round(letter_count / word_count, 6) END "
+        "SELECT channel_username, message_id, word_count, letter_count, CASE WHEN word_count > 0 THEN round(letter_count / word_count, 6) END "
         "AS letters_per_word FROM lengths",
         *lengths,
     )
     sql["gulpease"] = with_ctes(
-        "SELECT message_id, CASE WHEN word_count > 0 THEN round(89 + (300 * sentence_count - 10 * letter_count) / word_count, 6) END "
+        "SELECT channel_username, message_id, CASE WHEN word_count > 0 THEN round(89 + (300 * sentence_count - 10 * letter_count) / word_count, 6) END "
         "AS gulpease FROM lengths",
         *lengths,
     )

@@ -35,6 +35,11 @@ def test_date_bounds(spark):
     assert applied(spark, raw, bound(True)) == ["2024-03-01T23:59:59+00:00", *same]
 
 
+def test_dates_without_a_whole_day(spark):
+    lower = applied(spark, ["20240301", "2024-03", "2024", "20240301T10:00:00", "202403"], lambda c: clean.iso_utc(clean.date_bound(c, is_end=True)))
+    assert lower == ["2024-03-01T23:59:59+00:00", "", "", "2024-03-01T10:00:00+00:00", ""]
+
+
 def test_iso_keeps_microseconds(spark):
     raw = ["2024-03-01 10:00:00.5", "2024-03-01 10:00:00"]
     out = applied(spark, raw, lambda c: clean.iso_utc(c.cast("timestamp")))

@@ -98,3 +98,8 @@ def test_global_rank(spark):
     assert found == sorted(found, key=lambda t: (-t[0], t[1])) and len(found) == 3000
     ranks = [r.rank for r in global_rank(df, [F.desc("f"), F.asc("v")]).select("rank").collect()]
     assert sorted(ranks) == list(range(1, 3001))
+
+
+def test_odd_channel_names(spark):
+    given = spark.createDataFrame([("none",), ("@",), (" ",), (None,), ("@x",)], "username string")
+    assert rows(messages.channel_list(given)) == [("none",), ("x",)]

@@ -34,12 +34,34 @@ def test_stream_equals_batch_and_restarts_where_it_stopped(spark, sf, tmp_path):
 
 
 def test_copies_in_later_batches_are_dropped(spark, sf, tmp_path):
-    inbox, target, log = (str(tmp_path / name) for name in ("inbox", "out", "log"))
+    inbox, target, keys, log = (str(tmp_path / name) for name in ("inbox", "out", "keys", "log"))
     for half in (0, 0, 1, 1):
         arrive(spark, sf, inbox, half)
     records = collection.collected(posts(spark, sf, inbox, files_per_batch=1))
-    collection.append(collection.deduplicated(records, delay="100 days"), target, log).awaitTermination()
-    assert rows(spark.read.parquet(target)) == rows(batch(spark, sf))
+    collection.append_new(records, target, keys, log).awaitTermination()
+    assert rows(spark.read.parquet(target).drop("batch")) == rows(batch(spark, sf))
+
+
+def test_much_older_posts_that_arrive_later_are_kept(spark, tmp_path):
+    schema = "channel_username string, message_id long, date timestamp, text string, views long, forwards long, is_forwarded boolean, forward_from_chat string"
+    inbox, target, keys, log = (str(tmp_path / name) for name in ("inbox", "out", "keys", "log"))
+    for rows_in in ([("b", 1, "2024-06-01")], [("a", 1, "2024-01-01"), ("b", 1, "2024-06-01")], [(None, 1, "2020-01-01")], [(None, 1, "2020-01-01")]):
+        given = [(*row, "Some Text", 1, 1, False, None) for row in rows_in]
+        plain = spark.createDataFrame(given, schema.replace("date timestamp", "date string"))
+        plain.selectExpr(*[f"cast(date as timestamp) date" if name == "date" else name for name in plain.columns]).write.mode("append").parquet(inbox)
+        records = spark.readStream.schema(schema).parquet(inbox)
+        collection.append_new(records, target, keys, log).awaitTermination()
+    found = spark.read.parquet(target).select("channel_username", "message_id").collect()
+    assert sorted(map(str, map(tuple, found))) == ["('a', 1)", "('b', 1)", "(None, 1)"]
+
+
+def test_keywords_of_a_stream(spark, sf, tmp_path):
+    inbox, target, log = (str(tmp_path / name) for name in ("inbox", "out", "log"))
+    arrive(spark, sf, inbox, 0)
+    records = collection.collected(posts(spark, sf, inbox), keywords=["NOT THERE", "1"])
+    collection.append(records, target, log).awaitTermination()
+    given = fixtures.header_posts(spark.read.parquet(inbox)).filter("text LIKE '%1%'")
+    assert spark.read.parquet(target).count() == given.count()
 
 
 def test_trace_adds_up_over_batches(spark, sf, tmp_path):

@@ -20,9 +20,22 @@ def test_first_copy_decides_before_the_date_is_looked_at(spark):
         (5, "a", day, None),
         (6, "a", day, "  "),
         (7, "a", day, "https://only.link"),
+        (3, "b", day, "a third"),
     ]
     corpus = topics.topic_corpus(spark.createDataFrame(given, MESSAGE))
-    assert rows(corpus, "doc_id", "text") == [(3, "other"), (7, "")]
+    assert rows(corpus, "channel_username", "message_id", "text") == [("a", 3, "other"), ("a", 7, ""), ("b", 3, "a third")]
+    assert corpus.select("doc_id").distinct().count() == 3
+
+
+def test_messages_of_two_channels_with_one_id_stay_apart(spark):
+    day = datetime(2024, 1, 1)
+    given = [(1, "a", day, "xx yy yy"), (1, "b", day, "zz"), (2, "a", day, "xx zz")]
+    corpus = topics.topic_corpus(spark.createDataFrame(given, MESSAGE))
+    found = topics.document_keywords(corpus, min_df=1, n=9).join(corpus.select("doc_id", "channel_username", "message_id"), "doc_id")
+    terms = {}
+    for row in found.collect():
+        terms.setdefault((row.channel_username, row.message_id), set()).add(row.term)
+    assert terms == {("a", 1): {"xx", "yy", "xx yy", "yy yy", "xx yy yy"}, ("b", 1): {"zz"}, ("a", 2): {"xx", "zz", "xx zz"}}
 
 
 def test_keywords(spark):
