@@ -104,7 +104,8 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id"
     Counts are summed before they are shuffled, so a bucket of any size is one row per task.
     """
     marked = trusted.select(F.col(id_col)).distinct().withColumn("is_target", F.lit(1))
-    joined = docs.select(id_col, text_of(docs, text_col)).join(marked, id_col, "left")
+    # One plan at any size: the list of trusted ids is as long as the caller's table, so it is never sent whole.
+    joined = docs.select(id_col, text_of(docs, text_col)).join(marked.hint("merge"), id_col, "left")
     hashed = joined.select(hashes_of(words_of(F.col("text"))).alias("hashes"), F.coalesce("is_target", F.lit(0)).alias("is_target"))
     grams = hashed.select("is_target", F.explode(buckets_of("hashes", buckets)).alias("bucket"))
     return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("is_target").alias("target"))
