@@ -649,7 +649,7 @@ def stream_dedup(spark, sf_dir):
     """Four files arrive one by one, the late half of the ids first, each half twice; every message is kept once."""
     events = fixtures.table(spark, sf_dir, "events")
     inbox, target, keys, log = (working_path(spark, name) for name in ("inbox", "first", "first-keys", "first-log"))
-    middle = events.agg(F.avg("event_id")).scalar() or 0
+    middle = events.agg(F.avg("event_id")).first()[0] or 0
     for late in (True, True, False, False):
         part = events.filter(F.col("event_id") > middle) if late else events.filter(F.col("event_id") <= middle)
         part.write.mode("append").parquet(inbox)
