@@ -189,6 +189,12 @@ def leaf_bounds(length: int, leaf_chars: int) -> list[int]:
     return [length * i // parts for i in range(parts + 1)]
 
 
+def _short(ids: np.ndarray) -> bytes:
+    """Ids as numbers of two bytes if they fit, else four, and the size of a number at the end."""
+    size = 2 if ids.max(initial=0) < 1 << 16 else 4
+    return ids.astype(f"<u{size}").tobytes() + bytes([size])
+
+
 def _id_lists(arrays) -> pa.Array:
     lengths = np.fromiter(map(len, arrays), dtype=np.int64, count=len(arrays))
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
@@ -242,7 +248,7 @@ def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text
                 piece = encode_leaf(encoder, text, 0, len(text))
                 spans = [*piece.head, *piece.tail]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([piece.ids.tobytes()]), *(pa.array([(s + begin).tolist()], pa.list_(pa.int64())) for s in spans)],
+                    [*part.columns, pa.array([_short(piece.ids)]), *(pa.array([(s + begin).tolist()], pa.list_(pa.int64())) for s in spans)],
                     ["id", "row", "begin", "text", "ids", "head_starts", "head_ends", "tail_starts", "tail_ends"],
                 )
 
@@ -255,7 +261,7 @@ def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text
             pieces = []
             for row in rows:
                 spans = [np.asarray(row[name], np.int64) for name in ("head_starts", "head_ends", "tail_starts", "tail_ends")]
-                ids = np.frombuffer(row["ids"], "<u4")
+                ids = np.frombuffer(row["ids"], f"<u{row['ids'][-1]}", count=len(row["ids"]) // row["ids"][-1])
                 pieces.append(Piece(row["begin"], row["begin"] + len(row["text"]), ids, tuple(spans[:2]), tuple(spans[2:])))
             whole = concatenate_tree(encoder, text, pieces)
             return pa.RecordBatch.from_arrays([pa.array([rows[0]["id"]], id_type), _id_lists([whole])], ["id", "ids"])
@@ -287,11 +293,11 @@ _tables: dict[str, tuple] = {}
 
 
 def _pieces_of(path: str):
-    """Written form of each id, and whether a decoder other than joining with spaces is set."""
+    """Written form of each id, None at the end, and whether a decoder other than joining with spaces is set."""
     if path not in _tables:
         tokenizer = load_tokenizer(path)
         size = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1
-        written = [tokenizer.id_to_token(i) for i in range(size)]
+        written = np.array([*(tokenizer.id_to_token(i) for i in range(size)), None], dtype=object)
         _tables[path] = (tokenizer, written, tokenizer.decoder is None)
     return _tables[path]
 
@@ -307,15 +313,18 @@ def decode(encoded: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", i
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, written, plain = _pieces_of(tokenizer_path)
-        size = len(written)
+        size = len(written) - 1
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                lists = part.column("ids").to_pylist()
+                lists = part.column("ids")
                 if plain:
-                    out = [" ".join([written[i] for i in ids if 0 <= i < size and written[i] is not None]) for ids in lists]
+                    ids = lists.flatten().to_numpy(zero_copy_only=False)
+                    bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+                    tokens = written[np.where((ids >= 0) & (ids < size), ids, size)]
+                    out = [" ".join([t for t in tokens[a:b].tolist() if t is not None]) for a, b in zip(bounds, bounds[1:])]
                 else:
-                    out = tokenizer.decode_batch(lists, skip_special_tokens=False)
+                    out = tokenizer.decode_batch(lists.to_pylist(), skip_special_tokens=False)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("ids"), pa.array(out, pa.string())], ["id", "ids", "text"])
 
     return named.mapInArrow(texts, f"id {kind}, ids array<int>, text string").withColumnRenamed("id", id_col)
