@@ -5,13 +5,18 @@
 2. Documents with the same set are one from here on. Sets of the same size and
    prefix are one group. Two sets that are similar enough share a shingle of
    their prefixes, so only groups that do are looked at.
-3. Centre round: members are compared with the least member of their group, and
-   groups with the least group at each prefix shingle. That is linear in the
-   prefixes, and ties copies together, however many there are.
-4. Rest round: whatever shares a prefix shingle or a group and is not yet tied
-   together is compared: group pairs are filtered by size and place of the
-   shingle, then expanded to their members and verified on the whole sets. A
-   shingle whose groups all belong together makes no pair at all.
+3. Pairs are filtered by size, by the place of the shared shingle, and by a
+   sketch of a set whose bits say how many of its shingles fall in each slot, odd
+   or even: sets differ in at least as many shingles as sketches differ in bits.
+4. Centre pairs: members with the least member of their group, groups with the
+   least group at each prefix shingle. That is linear in the prefixes. Whatever
+   passes the filters is taken to belong together for the time being, and ties
+   copies together, however many there are.
+5. Rest pairs: whatever shares a prefix shingle or a group and is not tied
+   together; group pairs are filtered, then expanded to their members. A shingle
+   whose groups are all tied together makes no pair at all.
+6. All pairs are verified on the whole sets. Where a tie does not hold, the pairs
+   within it that it kept from being made are made and verified as well.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from driftline.llm.shingles import shingle_set
 
 SLOT_BITS = 18
 CHUNK = 1024
+SKETCH_BITS = 1024
 
 
 def slot_counts(docs: DataFrame, length: int, slot_bits: int = SLOT_BITS) -> np.ndarray:
@@ -71,7 +77,7 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def signed(docs: DataFrame, counts: np.ndarray, length: int, percent: int, slot_bits: int = SLOT_BITS) -> DataFrame:
-    """``doc_id, size, set_key, prefix_key, prefix`` of every document.
+    """``doc_id, size, set_key, prefix_key, prefix, sketch`` of every document.
 
     Keys are 128-bit digests. A set too small to be similar to any other has no prefix.
     """
@@ -82,7 +88,7 @@ def signed(docs: DataFrame, counts: np.ndarray, length: int, percent: int, slot_
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                sizes, set_keys, prefix_keys, prefixes = [], [], [], []
+                sizes, set_keys, prefix_keys, prefixes, sketches = [], [], [], [], []
                 for text in part.column("text"):
                     shingles = shingle_set(text.as_py(), length)
                     n = len(shingles)
@@ -93,9 +99,12 @@ def signed(docs: DataFrame, counts: np.ndarray, length: int, percent: int, slot_
                         prefix = shingles[order[: prefix_length(n, percent)]]
                         prefixes.append(prefix.view(np.int64))
                         prefix_keys.append(xxhash.xxh128_digest(prefix.tobytes()))
+                        odd = np.bincount((shingles & np.uint64(SKETCH_BITS - 1)).view(np.int64), minlength=SKETCH_BITS) & 1
+                        sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                     else:
                         prefixes.append(None)
                         prefix_keys.append(None)
+                        sketches.append(None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
@@ -103,11 +112,12 @@ def signed(docs: DataFrame, counts: np.ndarray, length: int, percent: int, slot_
                         pa.array(set_keys, pa.binary()),
                         pa.array(prefix_keys, pa.binary()),
                         pa.array(prefixes, pa.list_(pa.int64())),
+                        pa.array(sketches, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "size", "set_key", "prefix_key", "prefix"],
+                    ["doc_id", "size", "set_key", "prefix_key", "prefix", "sketch"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id bigint, size bigint, set_key binary, prefix_key binary, prefix array<bigint>")
+    return docs.mapInArrow(sign, "doc_id bigint, size bigint, set_key binary, prefix_key binary, prefix array<bigint>, sketch array<bigint>")
 
 
 def whole_sets(docs: DataFrame, length: int) -> DataFrame:
@@ -131,14 +141,61 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are similar. A node in very many pairs may be split by adaptive execution."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    joined = pairs.join(left, "a").join(right, "b")
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     shared = F.size(F.array_intersect("left", "right"))
-    sizes_fit = (100 * F.size("left") >= percent * F.size("right")) & (100 * F.size("right") >= percent * F.size("left"))
-    return joined.filter(sizes_fit & similar(shared, F.size("left"), F.size("right"), percent)).select("a", "b")
+    return joined.filter(similar(shared, F.size("left"), F.size("right"), percent)).select("a", "b")
 
 
-def _ordered(a: str, b: str) -> tuple[Column, Column]:
-    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
+def _sizes_fit(left: Column, right: Column, percent: int) -> Column:
+    return (100 * left >= percent * right) & (100 * right >= percent * left)
+
+
+def sketched(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of different nodes whose sizes and sketches allow similarity, the lesser node first."""
+    ordered = pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left = members.select(F.col("node").alias("a"), F.col("size").alias("left"), F.col("sketch").alias("bits"))
+    right = members.select(F.col("node").alias("b"), F.col("size").alias("right"), F.col("sketch").alias("others"))
+    apart = F.aggregate(F.zip_with("bits", "others", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    joined = ordered.join(left.hint("merge"), "a").join(right.hint("merge"), "b").filter(_sizes_fit(F.col("left"), F.col("right"), percent))
+    return joined.filter((100 + percent) * apart <= (100 - percent) * (F.col("left") + F.col("right"))).select("a", "b")
+
+
+def _place_fits(x: str, y: str, percent: int) -> Column:
+    """Whether two postings of one shingle can be those of the first shared one: it and all after it must be enough."""
+    left, right = F.col(f"{x}.size"), F.col(f"{y}.size")
+    still = F.least(left - F.col(f"{x}.place"), right - F.col(f"{y}.place"))
+    return _sizes_fit(left, right, percent) & similar(still, left, right, percent)
+
+
+def rest_pairs(hits: DataFrame, members: DataFrame, ties: DataFrame, percent: int, *, within: bool = False) -> DataFrame:
+    """Pairs ``a, b`` of members that share a prefix shingle or a group and are not tied together.
+
+    ``ties`` has ``node, tie``; nodes it lacks are tied to nothing. With ``within``
+    it has ``guess`` as well, and only nodes of one guess are paired. At each
+    shingle the units, the parts of groups tied together, of the largest tie are
+    met by all others, never by each other.
+    """
+    guess = ["guess"] if within else []
+    placed = members.select("node", "size", "grp").join(ties, "node", "inner" if within else "left").withColumn("tie", F.coalesce("tie", "node"))
+    placed = placed.join(placed.groupBy("grp", "tie", *guess).agg(F.min("node").alias("unit")), ["grp", "tie", *guess])
+    placed = kept(placed, "units")
+    units = placed.filter("node = unit").select("unit", "grp", "tie", "size", *guess)
+    in_group = units.select(F.xxhash64(F.lit("group"), "grp").alias("shingle"), F.lit(0).alias("place"), "size", "unit", "tie", *guess)
+    met = hits.select("shingle", "place", "grp", "size").join(units.drop("size"), "grp").drop("grp").unionByName(in_group)
+    key = ["shingle", *guess]
+    counted = met.groupBy(*key, "tie").agg(F.count(F.lit(1)).alias("n"))
+    open_keys = counted.groupBy(*key).agg(F.count(F.lit(1)).alias("ties"), F.max(F.struct("n", "tie")).alias("top")).filter("ties > 1")
+    met = kept(met.join(open_keys.select(*key, F.col("top.tie").alias("main")), key), "open-postings")
+    x, y = met.filter("tie != main").alias("x"), met.alias("y")
+    same = [F.col(f"x.{name}") == F.col(f"y.{name}") for name in key]
+    ahead = (F.col("x.tie") != F.col("y.tie")) & _place_fits("x", "y", percent)
+    unit_pairs = x.join(y, [*same, ahead]).select(F.least("x.unit", "y.unit").alias("a"), F.greatest("x.unit", "y.unit").alias("b")).distinct()
+    of_unit = placed.select("unit", "node")
+    return (
+        unit_pairs.join(of_unit.select(F.col("unit").alias("a"), F.col("node").alias("left")), "a")
+        .join(of_unit.select(F.col("unit").alias("b"), F.col("node").alias("right")), "b")
+        .select(F.col("left").alias("a"), F.col("right").alias("b"))
+    )
 
 
 def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,9 +204,9 @@ def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str =
     Two documents are linked if the intersection of their sets of ``length``-word
     shingles is at least ``percent`` hundredths of the union; the component is the
     least id reachable over links. Documents without words are linked with
-    nothing. Rows with the same id are one document, linked with all of them;
-    rows without an id have their own count and a NULL component. Ties do not
-    occur: equal sets are one set. Other columns are not looked at.
+    nothing. An id names one text: rows with the same id are one document, given
+    again. Rows without an id have their own count and a NULL component. Ties do
+    not occur: equal sets are one set. Other columns are not looked at.
     """
     named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     counts = slot_counts(named, length)
@@ -158,72 +215,49 @@ def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str =
 
     # Equal sets are one node, named by the least document.
     nodes = kept(known.filter("size > 0").groupBy("set_key").agg(F.min("doc_id").alias("node")), "nodes")
-    wide = known.filter("prefix_key IS NOT NULL").join(nodes, "set_key").filter("doc_id = node").dropDuplicates(["node", "set_key"])
-    wide = kept(wide.select("node", "size", "prefix_key", "prefix"), "prefixes")
-    groups = wide.groupBy("size", "prefix_key").agg(F.min("node").alias("grp"))
-    members = kept(wide.select("node", "size", "prefix_key").join(groups, ["size", "prefix_key"]).select("node", "size", "grp"), "members")
+    one_each = known.filter("prefix_key IS NOT NULL").join(nodes.select(F.col("node").alias("doc_id"), "set_key"), ["doc_id", "set_key"])
+    grouped = one_each.groupBy("size", "prefix_key").agg(F.min("doc_id").alias("grp"))
+    members = one_each.select(F.col("doc_id").alias("node"), "size", "prefix_key", "sketch").join(grouped, ["size", "prefix_key"])
+    members = kept(members.drop("prefix_key").dropDuplicates(["node"]), "members")
 
     # Postings of the groups, kept where a shingle has two or more.
-    one_each = wide.join(members.filter("node = grp").select("node", "grp"), "node")
-    posted = one_each.select(F.posexplode("prefix").alias("place", "shingle"), "grp", "size")
-    shared = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("grp").alias("centre")).filter("n > 1").drop("n")
-    hits = kept(posted.join(shared, "shingle"), "postings")
-
-    # Centre round.
-    centred = (
-        members.filter("node != grp").select(F.col("grp").alias("a"), F.col("node").alias("b"))
-        .unionByName(hits.filter("grp != centre").select(F.col("centre").alias("a"), F.col("grp").alias("b")))
-        .distinct()
-    )
-    involved = (
-        members.filter("node != grp").select("node").unionByName(members.filter("node != grp").select(F.col("grp").alias("node")))
-        .unionByName(hits.select(F.col("grp").alias("node")))
-        .distinct()
-        # All members of a group that meets another.
-        .join(members.select("node", "grp").withColumnRenamed("node", "member"), F.col("node") == F.col("grp"), "left")
-        .select(F.explode(F.array("node", "member")).alias("doc_id"))
-        .filter("doc_id IS NOT NULL")
-        .distinct()
-    )
-    sets = kept(
-        whole_sets(named.join(involved, "doc_id", "left_semi"), length).dropDuplicates(["node"]), "sets"
-    )
-    links = kept(verified(centred, sets, percent), "centre-links")
-
-    # Rest round: units are the parts of a group that are tied together.
-    tied = components(links).withColumnRenamed("component", "tie")
-    placed = members.join(tied, "node", "left").withColumn("tie", F.coalesce("tie", "node"))
-    placed = kept(placed.join(placed.groupBy("grp", "tie").agg(F.min("node").alias("unit")), ["grp", "tie"]), "units")
-    units = placed.filter("node = unit").select("unit", "grp", "tie", "size")
-    in_group = units.select(F.xxhash64(F.lit("group"), "grp").alias("shingle"), F.lit(0).alias("place"), "size", "unit", "tie")
-    met = hits.select("shingle", "place", "grp", "size").join(units.drop("size"), "grp").drop("grp").unionByName(in_group)
-    open_keys = met.groupBy("shingle").agg(F.min("tie").alias("low"), F.max("tie").alias("high")).filter("low < high").select("shingle")
-    met = kept(met.join(open_keys, "shingle"), "open-postings")
-    most = (
-        met.groupBy("shingle", "tie").count().groupBy("shingle").agg(F.max(F.struct("count", "tie")).alias("top")).select("shingle", F.col("top.tie").alias("main"))
+    first = members.filter("node = grp").select(F.col("node").alias("doc_id"))
+    posted = known.join(first.hint("merge"), "doc_id", "left_semi").filter("prefix IS NOT NULL").select(
+        F.posexplode("prefix").alias("place", "shingle"), F.col("doc_id").alias("grp"), F.col("size").cast("int").alias("size")
     )
-    fewer = met.join(most, "shingle").filter("tie != main").drop("main")
-    x, y = fewer.alias("x"), met.alias("y")
-    still = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
-    fits = (
-        (F.col("x.tie") != F.col("y.tie"))
-        & (100 * F.col("x.size") >= percent * F.col("y.size"))
-        & (100 * F.col("y.size") >= percent * F.col("x.size"))
-        # Shingles from the first shared one on are all that can be shared.
-        & similar(still, F.col("x.size"), F.col("y.size"), percent)
-    )
-    unit_pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & fits).select(*_ordered("x.unit", "y.unit")).distinct()
-    of_unit = placed.select("unit", "node")
-    pairs = (
-        unit_pairs.join(of_unit.select(F.col("unit").alias("a"), F.col("node").alias("left")), "a")
-        .join(of_unit.select(F.col("unit").alias("b"), F.col("node").alias("right")), "b")
-        .select(F.col("left").alias("a"), F.col("right").alias("b"))
+    shared = posted.groupBy("shingle").agg(F.min("grp").alias("centre"), F.max("grp").alias("last")).filter("centre < last").drop("last")
+    hits = kept(posted.join(shared.hint("merge"), "shingle"), "postings")
+
+    # Centre pairs, and what they tie together for the time being.
+    centres = hits.filter("grp = centre").alias("y")
+    others = hits.filter("grp != centre").alias("x")
+    met = others.join(centres, (F.col("x.shingle") == F.col("y.shingle")) & _place_fits("x", "y", percent))
+    in_group = members.filter("node != grp").select(F.col("grp").alias("a"), F.col("node").alias("b"))
+    centred = kept(
+        sketched(in_group.unionByName(met.select(F.col("y.grp").alias("a"), F.col("x.grp").alias("b"))), members, percent), "centre-pairs"
     )
-    more = verified(pairs, sets, percent)
-
-    final = components(links.unionByName(more)).withColumnRenamed("component", "least")
-    # Rows of one id with several sets join their components.
-    named_sets = known.filter("size > 0").select("doc_id", "set_key").join(nodes, "set_key")
-    of_doc = named_sets.join(final, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("least", "node")).alias("component_id"))
-    result = rows.select("doc_id", "size").join(of_doc, "doc_id", "left")
-    return result.select(F.col("doc_id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    guesses = components(centred)
+    more = sketched(rest_pairs(hits, members, guesses.withColumnRenamed("component", "tie"), percent), members, percent)
+    pairs = kept(centred.unionByName(more).distinct(), "pairs")
+
+    # Whole sets of what is in a pair.
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = named.join(involved.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = kept(whole_sets(texts, length), "sets")
+    links = kept(verified(pairs, sets, percent), "links")
+    held = components(links)
+
+    # Ties that do not hold: their nodes are in centre pairs, so their sets are there.
+    real = guesses.withColumnRenamed("component", "guess").join(held.withColumnRenamed("component", "tie"), "node", "left")
+    real = real.withColumn("tie", F.coalesce("tie", "node"))
+    broken = real.groupBy("guess").agg(F.min("tie").alias("low"), F.max("tie").alias("high")).filter("low < high").select("guess")
+    real = kept(real.join(broken, "guess", "left_semi"), "broken")
+    if not real.isEmpty():
+        missed = sketched(rest_pairs(hits, members, real, percent, within=True), members, percent)
+        held = components(links.unionByName(verified(missed, sets, percent)))
+
+    final = held.withColumnRenamed("component", "least")
+    of_set = nodes.join(final, "node", "left").select("set_key", F.coalesce("least", "node").alias("component_id"))
+    result = rows.select("doc_id", "size", "set_key").join(of_set, "set_key", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return result.select(F.col("doc_id").alias(id_col), F.col("size").alias("n_shingles"), component.alias("component_id"))
