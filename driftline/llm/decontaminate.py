@@ -32,7 +32,7 @@ _WORD = re.compile(r"\w+")
 
 def hashed_words(text: str | None) -> np.ndarray:
     """Hashes of a text's words, letters and digits only, in lower case."""
-    return word_hashes([word.encode("utf-8") for word in _WORD.findall((text or "").lower())])
+    return word_hashes(_WORD.findall((text or "").lower()))
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> float:

@@ -12,7 +12,7 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x2
 class WordHashes(dict):
     """64-bit hash per word; starts anew when it holds too many words."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         if len(self) > MAX_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -27,7 +27,7 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").split()
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
+def word_hashes(words: list[bytes] | list[str]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, count=len(words))
 
 

@@ -52,6 +52,16 @@ def test_tree_over_unsplit_texts(word):
         assert tree(word, text, 300).tolist() == word.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(min_codepoint=0x21, max_codepoint=0x180) | st.sampled_from("the'sradin"), min_size=1, max_size=25))
+def test_plain_words_by_ranks(word, text):
+    assert word.merge and word.encode([text])[0].tolist() == word.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_ranks_only_for_their_kind_of_tokenizer():
+    assert WordEnds(BYTE).merge is None
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from(PARTS), max_size=60))
 def test_byte_words(byte, parts):
