@@ -2,4 +2,62 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+WORD = r"[^\x20\x09-\x0D]+"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _base32(digest: str) -> str:
+    """Upper-case base32 of 40 hexadecimal digits: five digits are four letters."""
+    fives = [f"('0x' || substr({digest}, {5 * i + 1}, 5))::BIGINT" for i in range(8)]
+    letters = [f"substr('{ALPHABET}', (({five} >> {shift}) & 31)::INT + 1, 1)" for five in fives for shift in (15, 10, 5, 0)]
+    return " || ".join(letters)
+
+
+ARCHIVE = f"""
+WITH filled AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+latest AS (SELECT payload, max(page_id) AS keeper FROM filled GROUP BY payload),
+digested AS (SELECT payload, keeper, sha1(payload) AS hex FROM latest)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {_base32('hex')} AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM filled JOIN digested USING (payload)"""
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+NEAR_COPIES = rf"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
+      THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+  FROM cut),
+sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (shingle)
+  WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * common >= 90 * (p.n + q.n - common)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+FROM reached LEFT JOIN sizes ON sizes.doc_id = a GROUP BY a"""
+
+PASSAGES = rf"""
+WITH cut AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 33)) AS place,
+    unnest(list_transform(range(1, len(w) - 33), lambda i: array_to_string(w[i:i + 34], ' '))) AS passage
+  FROM cut WHERE len(w) >= 35),
+repeated AS (SELECT passage FROM windows GROUP BY passage HAVING count(*) > 1),
+starts AS (SELECT doc_id, place FROM windows SEMI JOIN repeated USING (passage)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM cut),
+marked AS (
+  SELECT doc_id, word, words.place,
+    coalesce(max(starts.place) OVER (PARTITION BY doc_id ORDER BY words.place) >= words.place - 34, false) AS gone
+  FROM words LEFT JOIN starts USING (doc_id, place))
+SELECT doc_id, count(word)::BIGINT AS n_words, count(*) FILTER (gone)::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM cut LEFT JOIN marked USING (doc_id) GROUP BY doc_id"""
+
+SQL: dict[str, str] = {"op5_warc": ARCHIVE, "op6_jaccard": NEAR_COPIES, "op7_substrings": PASSAGES}
