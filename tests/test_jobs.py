@@ -81,3 +81,26 @@ def test_staged_tables_lie_in_the_folder_of_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert folder in working_path(spark, "x")
     assert stage(spark.range(3)).count() == 3
+
+
+def test_files_with_other_headers_are_read_by_name(spark, tmp_path):
+    given = {
+        "a.csv": 'username,title,channel_id\n@x,"two\nlines",1\n',
+        "b c.csv": "channel_id,extra,title,username\n2,?,T,@y\n",
+        "d.csv": "title,username\nonly,@z\n",
+    }
+    for name, text in given.items():
+        (tmp_path / name).write_text(text)
+    read = tables.read_channels(spark, str(tmp_path)).select("channel_id", "username", "title")
+    assert sorted(map(tuple, read.collect()), key=str) == [(1, "@x", "two\nlines"), (2, "@y", "T"), (None, "@z", "only")]
+    (tmp_path / "e.csv").write_text("username\n@q\n")
+    with pytest.raises(ValueError, match="missing columns: title in .*e.csv"):
+        tables.read_channels(spark, str(tmp_path))
+
+
+def test_empty_channel_list_is_an_error(spark, tmp_path):
+    (tmp_path / "channels").mkdir()
+    (tmp_path / "channels" / "a.csv").write_text("username,title\n@,x\n")
+    posts = spark.createDataFrame([], "channel_username string, message_id long, date timestamp, text string")
+    with pytest.raises(ValueError, match="empty"):
+        messages.run(spark, posts, str(tmp_path / "channels"), str(tmp_path / "out"))
