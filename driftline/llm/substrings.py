@@ -9,8 +9,10 @@ windows whose minimiser lies at the same place make up one packed string.
 2. Packed strings with a minimiser met again are taken from the texts and equal
    ones merged: if there are two of one, all its windows are repeated.
 3. Different packed strings travel to the bucket of their minimiser, where their
-   windows are sorted and counted. A bucket of more than ``bucket_strings`` is cut
-   up: its windows are dealt out and counted by their own digests.
+   windows are sorted and counted. The strings of a bucket of more than
+   ``bucket_strings`` are cut again by minimisers of another hash, and equal parts
+   merged, as before; after ``LEVELS`` hashes the windows of what is left are dealt
+   out and counted by their own digests.
 4. Repeated windows go back to the texts they come from.
 """
 
@@ -26,17 +28,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.llm.files import kept
-from driftline.llm.shingles import runs, word_hashes, words_of
+from driftline.llm.shingles import mix, runs, word_hashes, words_of
 
 RUN_WORDS = 5
 BUCKET_STRINGS = 256
+LEVELS = 3
 
 
-def packed_runs(hashes: np.ndarray, window: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and minimiser of each packed string, from the hashes of a text's words."""
+def packed_runs(hashes: np.ndarray, window: int, m: int, level: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and minimiser of each packed string, from the hashes of a text's words.
+
+    Every level has a hash of its own.
+    """
     if len(hashes) < window:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     grams = runs(hashes, m)
+    if level:
+        grams = mix(grams + np.uint64(level))
     span = window - m + 1
     views = np.lib.stride_tricks.sliding_window_view(grams, span)
     # The first of equal hashes counts.
@@ -62,6 +70,122 @@ def repeated_in(strings: list[tuple[bytes, int]], window: int) -> list[list[int]
     return found
 
 
+def _key(packed: bytes) -> tuple[int, int]:
+    high, low = np.frombuffer(xxhash.xxh128_digest(packed), np.int64)
+    return int(high), int(low)
+
+
+def _verdicts(rows: DataFrame, window: int, m: int, bucket_strings: int, level: int = 1) -> DataFrame:
+    """``high, low, repeated`` of the packed strings with a repeated window; NULL says that all are.
+
+    ``rows`` is stored and has ``least, high, low, often, packed``; equal strings are
+    summed up before they are shuffled, and one of each stays.
+    """
+    strings = rows.groupBy("least", "high", "low").agg(F.sum("often").alias("often"))
+    per_bucket = strings.groupBy("least").agg(F.count(F.lit(1)).alias("strings")).filter("strings > 1")
+    one_each = rows.groupBy("least", "high", "low").agg(F.sum("often").alias("often"), F.first("packed").alias("packed"))
+    open_strings = kept(one_each.join(per_bucket.hint("merge"), "least"), "open-strings")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+
+        def done() -> pa.RecordBatch:
+            found = repeated_in([(row["packed"], row["often"]) for row in held], window)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["high"] for row in held], pa.int64()),
+                    pa.array([row["low"] for row in held], pa.int64()),
+                    pa.array(found, pa.list_(pa.int32())),
+                ],
+                ["high", "low", "repeated"],
+            )
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                for row in batch.slice(at, 500).to_pylist():
+                    if held and row["least"] != bucket:
+                        yield done()
+                        held = []
+                    bucket = row["least"]
+                    held.append(row)
+        if held:
+            yield done()
+
+    in_bucket = (
+        open_strings.filter(F.col("strings") <= bucket_strings).drop("strings").repartition("least").sortWithinPartitions("least")
+        .mapInArrow(count, "high bigint, low bigint, repeated array<int>")
+    )
+    found = in_bucket.filter(F.size("repeated") > 0)
+    crowded = open_strings.filter(F.col("strings") > bucket_strings).select("least", "high", "low", "often", "packed")
+    if not crowded.isEmpty():
+        found = found.unionByName((_by_parts if level < LEVELS else _by_windows)(crowded, window, m, bucket_strings, level))
+    alone = strings.filter("often = 1").select("high", "low")
+    whole = strings.filter("often > 1").select("high", "low", F.lit(None).cast("array<int>").alias("repeated"))
+    return whole.unionByName(found.join(alone, ["high", "low"], "left_semi"))
+
+
+def _by_parts(strings: DataFrame, window: int, m: int, bucket_strings: int, level: int) -> DataFrame:
+    """Repeated windows of the strings of crowded buckets, from their parts under the hash of the next level."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                rows, columns = [], [[] for _ in range(6)]
+                for i, (bucket, packed) in enumerate(zip(part.column("least").to_pylist(), part.column("packed").to_pylist())):
+                    words = packed.split(b" ")
+                    for first, n, least in zip(*(x.tolist() for x in packed_runs(word_hashes(words), window, m, level))):
+                        piece = b" ".join(words[first : first + n + window - 1])
+                        # Parts meet within the bucket their string is from.
+                        inner = int(mix(np.array([bucket], np.int64).view(np.uint64) + np.array([least], np.int64).view(np.uint64) * np.uint64(3)).view(np.int64)[0])
+                        rows.append(i)
+                        for column, value in zip(columns, (first, n, inner, *_key(piece), piece)):
+                            column.append(value)
+                taken = pa.array(rows, pa.int64())
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(name).take(taken) for name in ("high", "low", "often")),
+                        *(pa.array(column, kind) for column, kind in zip(columns, kinds)),
+                    ],
+                    ["outer_high", "outer_low", "often", "first", "n", "least", "high", "low", "packed"],
+                )
+
+    schema = "outer_high bigint, outer_low bigint, often bigint, first int, n int, least bigint, high bigint, low bigint, packed binary"
+    parts = kept(strings.mapInArrow(cut, schema), "parts")
+    verdicts = _verdicts(parts, window, m, bucket_strings, level + 1)
+    places = F.coalesce("repeated", F.sequence(F.lit(0), F.col("n") - 1))
+    met = parts.drop("packed", "often", "least").join(verdicts, ["high", "low"])
+    moved = met.select(F.col("outer_high").alias("high"), F.col("outer_low").alias("low"), F.transform(places, lambda x: x + F.col("first")).alias("places"))
+    return moved.groupBy("high", "low").agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("repeated"))
+
+
+def _by_windows(strings: DataFrame, window: int, m: int, bucket_strings: int, level: int) -> DataFrame:
+    """Repeated windows of the strings of crowded buckets, window by window."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                rows, spots, digests = [], [], []
+                for i, packed in enumerate(part.column("packed").to_pylist()):
+                    words = packed.split(b" ")
+                    for k in range(len(words) - window + 1):
+                        rows.append(i)
+                        spots.append(k)
+                        digests.append(xxhash.xxh128_digest(b" ".join(words[k : k + window])))
+                taken = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(name).take(taken) for name in ("high", "low", "often")), pa.array(spots, pa.int32()), pa.array(digests, pa.binary())],
+                    ["high", "low", "often", "spot", "digest"],
+                )
+
+    dealt = strings.select("high", "low", "often", "packed")
+    dealt = dealt.mapInArrow(windows, "high bigint, low bigint, often bigint, spot int, digest binary")
+    met = dealt.groupBy("digest").agg(F.sum("often").alias("total")).filter("total > 1").select("digest")
+    return dealt.join(met, "digest").groupBy("high", "low").agg(F.sort_array(F.collect_list("spot")).alias("repeated"))
+
+
 def dedup(docs: DataFrame, *, window: int, m: int = RUN_WORDS, bucket_strings: int = BUCKET_STRINGS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_words, n_removed, kept``: every text without the words of its repeated windows.
 
@@ -100,13 +224,13 @@ def dedup(docs: DataFrame, *, window: int, m: int = RUN_WORDS, bucket_strings: i
                     words = words_of(text)
                     for spot in spots:
                         packed = b" ".join(words[spot["start"] : spot["start"] + spot["n"] + window - 1])
-                        key = np.frombuffer(xxhash.xxh128_digest(packed), np.int64)
+                        high, low = _key(packed)
                         rows.append(i)
                         starts.append(spot["start"])
                         sizes.append(spot["n"])
                         leasts.append(spot["least"])
-                        highs.append(int(key[0]))
-                        lows.append(int(key[1]))
+                        highs.append(high)
+                        lows.append(low)
                         strings.append(packed)
                 taken = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -128,70 +252,7 @@ def dedup(docs: DataFrame, *, window: int, m: int = RUN_WORDS, bucket_strings: i
     packed = kept(
         joined.mapInArrow(pack, "id bigint, sum bigint, start int, n int, least bigint, high bigint, low bigint, packed binary"), "packed"
     )
-    # Equal packed strings are counted before they are shuffled; one of each stays.
-    strings = packed.groupBy("least", "high", "low").agg(F.count(F.lit(1)).alias("often"))
-    per_bucket = strings.groupBy("least").agg(F.count(F.lit(1)).alias("strings")).filter("strings > 1")
-    one_row = packed.groupBy("least", "high", "low").agg(F.count(F.lit(1)).alias("often"), F.first("packed").alias("packed"))
-    open_strings = kept(one_row.join(per_bucket, "least"), "open-strings")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, held = None, []
-
-        def done() -> pa.RecordBatch:
-            found = repeated_in([(row["packed"], row["often"]) for row in held], window)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["high"] for row in held], pa.int64()),
-                    pa.array([row["low"] for row in held], pa.int64()),
-                    pa.array(found, pa.list_(pa.int32())),
-                ],
-                ["high", "low", "repeated"],
-            )
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                for row in batch.slice(at, 500).to_pylist():
-                    if held and row["least"] != bucket:
-                        yield done()
-                        held = []
-                    bucket = row["least"]
-                    held.append(row)
-        if held:
-            yield done()
-
-    in_bucket = (
-        open_strings.filter(F.col("strings") <= bucket_strings).drop("strings").repartition("least").sortWithinPartitions("least")
-        .mapInArrow(count, "high bigint, low bigint, repeated array<int>")
-    )
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows, spots, digests = [], [], []
-                for i, packed in enumerate(part.column("packed").to_pylist()):
-                    words = packed.split(b" ")
-                    for k in range(len(words) - window + 1):
-                        rows.append(i)
-                        spots.append(k)
-                        digests.append(xxhash.xxh128_digest(b" ".join(words[k : k + window])))
-                taken = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(name).take(taken) for name in ("high", "low", "often")), pa.array(spots, pa.int32()), pa.array(digests, pa.binary())],
-                    ["high", "low", "often", "spot", "digest"],
-                )
-
-    dealt = open_strings.filter(F.col("strings") > bucket_strings).select("high", "low", "often", "packed")
-    dealt = dealt.mapInArrow(windows, "high bigint, low bigint, often bigint, spot int, digest binary")
-    met = dealt.groupBy("digest").agg(F.sum("often").alias("total")).filter("total > 1").select("digest")
-    by_digest = dealt.join(met, "digest").groupBy("high", "low").agg(F.sort_array(F.collect_list("spot")).alias("repeated"))
-
-    # Verdict of a packed string: all its windows if there are two of it, else those found.
-    verdicts = (
-        strings.filter("often > 1").select("high", "low", F.lit(None).cast("array<int>").alias("repeated"))
-        .unionByName(in_bucket.join(open_strings.filter("often = 1").select("high", "low"), ["high", "low"], "left_semi").filter(F.size("repeated") > 0))
-        .unionByName(by_digest.join(open_strings.filter("often = 1").select("high", "low"), ["high", "low"], "left_semi"))
-    )
+    verdicts = _verdicts(packed.withColumn("often", F.lit(1)), window, m, bucket_strings)
     judged = packed.select("id", "sum", "start", "n", "high", "low").join(verdicts, ["high", "low"])
     spans = judged.groupBy("id", "sum").agg(F.collect_set(F.struct("start", "n", "repeated")).alias("spans"))
 
