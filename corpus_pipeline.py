@@ -19,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, decontaminate, jaccard, langid, pii
+from driftline.llm import bpe, decontaminate, jaccard, langid, pii, sieve
 from driftline.llm.files import kept
 from driftline.llm.ship import ship
 
@@ -33,8 +33,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     placed = jaccard.near_duplicates(docs, length=5, percent=80)
-    gone = placed.filter("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    placed = kept(placed.select("doc_id", "component_id"), "placed")
+    return sieve.anti(docs, placed.filter("component_id < doc_id").select("doc_id"), "doc_id")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from driftline.llm.components import components
 from driftline.llm.files import kept
 from driftline.llm.shingles import shingle_set
+from driftline.llm.sieve import anti, semi
 
 SLOT_BITS = 18
 CHUNK = 1024
@@ -222,11 +223,13 @@ def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str =
 
     # Postings of the groups, kept where a shingle has two or more.
     first = members.filter("node = grp").select(F.col("node").alias("doc_id"))
-    posted = known.join(first.hint("merge"), "doc_id", "left_semi").filter("prefix IS NOT NULL").select(
-        F.posexplode("prefix").alias("place", "shingle"), F.col("doc_id").alias("grp"), F.col("size").cast("int").alias("size")
-    )
-    shared = posted.groupBy("shingle").agg(F.min("grp").alias("centre"), F.max("grp").alias("last")).filter("centre < last").drop("last")
-    hits = kept(posted.join(shared.hint("merge"), "shingle"), "postings")
+    later = known.select("doc_id").join(first.hint("merge"), "doc_id", "left_anti")
+    firsts = anti(known.filter("prefix IS NOT NULL").select("doc_id", "size", "prefix"), later, "doc_id")
+    posted = firsts.select(F.posexplode("prefix").alias("place", "shingle"), F.col("doc_id").alias("grp"), F.col("size").cast("int").alias("size"))
+    shared = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
+    met = kept(posted.join(shared.hint("merge"), "shingle"), "met")
+    least = met.groupBy("shingle").agg(F.min("grp").alias("centre"))
+    hits = kept(met.join(least.hint("merge"), "shingle"), "postings")
 
     # Centre pairs, and what they tie together for the time being.
     centres = hits.filter("grp = centre").alias("y")
@@ -242,7 +245,7 @@ def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str =
 
     # Whole sets of what is in a pair.
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = named.join(involved.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = semi(named, involved, "doc_id").dropDuplicates(["doc_id"])
     sets = kept(whole_sets(texts, length), "sets")
     links = kept(verified(pairs, sets, percent), "links")
     held = components(links)

@@ -1,0 +1,75 @@
+"""Which rows may have an id of a list: a table of bits of fixed size, so that few wide rows are shuffled for a join.
+
+The bits only spare work: rows that pass still meet the list itself.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SLOT_BITS = 23
+CHUNK_BYTES = 4096
+
+
+def _slot(name: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(name), 64 - SLOT_BITS)
+
+
+def sieve(ids: DataFrame) -> Callable[[str], Column]:
+    """Whether an id may be among those of the one column of ``ids``; always true for those that are.
+
+    Tasks set bits of their own, which are joined in chunks; one megabyte comes to
+    the driver and goes to the tasks, however long the list. NULL ids are hashed
+    like any other.
+    """
+    (name,) = ids.columns
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << SLOT_BITS, bool)
+        for batch in batches:
+            bits[batch.column("slot").to_numpy(zero_copy_only=False)] = True
+        chunks = np.packbits(bits).reshape(-1, CHUNK_BYTES)
+        used = np.flatnonzero(chunks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array([chunks[i].tobytes() for i in used], pa.binary())], ["chunk", "bits"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, bits in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist()):
+                sums[chunk] = sums.get(chunk, 0) | np.frombuffer(bits, np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([b.tobytes() for b in sums.values()], pa.binary())], ["chunk", "bits"])
+
+    schema = "chunk bigint, bits binary"
+    marked = ids.select(_slot(name).alias("slot")).mapInArrow(mark, schema).repartition("chunk").mapInArrow(add, schema)
+    whole = np.zeros((1 << SLOT_BITS) // 8, np.uint8)
+    for row in marked.collect():
+        whole[row["chunk"] * CHUNK_BYTES : (row["chunk"] + 1) * CHUNK_BYTES] = np.frombuffer(row["bits"], np.uint8)
+    sent = ids.sparkSession.sparkContext.broadcast(whole)
+
+    @F.pandas_udf("boolean")
+    def may_be(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy(np.int64)
+        return pd.Series((sent.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    return lambda column: may_be(_slot(column))
+
+
+def semi(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows whose id is among ``ids``, a table of one column."""
+    (name,) = ids.columns
+    listed = ids.select(F.col(name).alias("_listed")).distinct().hint("merge")
+    return rows.filter(sieve(ids)(id_col)).join(listed, F.col(id_col) == F.col("_listed"), "left_semi")
+
+
+def anti(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows whose id is not among ``ids``, NULL ids included; only those that may be are shuffled."""
+    (name,) = ids.columns
+    listed = ids.select(F.col(name).alias("_listed")).distinct().hint("merge")
+    may_be = sieve(ids)(id_col)
+    return rows.filter(~may_be).unionByName(rows.filter(may_be).join(listed, F.col(id_col) == F.col("_listed"), "left_anti"))
