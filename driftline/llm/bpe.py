@@ -15,6 +15,8 @@ from driftline.llm.words import WordEnds, load_tokenizer, word_ends
 LEAF_CHARS = 16_384
 FIRST_WINDOW = 32
 EDGE_TOKENS = 80
+# Texts a task holds in Python at a time.
+SLICE = 250
 
 
 class Piece:
@@ -218,8 +220,8 @@ def encode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ends(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 arrays = encoder.encode(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("id"), _id_lists(arrays)], ["id", "ids"])
 
@@ -298,7 +300,8 @@ def _pieces_of(path: str):
         tokenizer = load_tokenizer(path)
         size = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1
         written = np.array([*(tokenizer.id_to_token(i) for i in range(size)), None], dtype=object)
-        _tables[path] = (tokenizer, written, tokenizer.decoder is None)
+        plain = tokenizer.decoder is None
+        _tables[path] = (None if plain else tokenizer, written, plain)
     return _tables[path]
 
 
@@ -315,8 +318,8 @@ def decode(encoded: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", i
         tokenizer, written, plain = _pieces_of(tokenizer_path)
         size = len(written) - 1
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 lists = part.column("ids")
                 if plain:
                     ids = lists.flatten().to_numpy(zero_copy_only=False)

@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-MAX_WORDS = 600_000
+MAX_WORDS = 200_000
 MAX_WORD_CHARS = 64
 ID_BYTES = 4
 
