@@ -1,4 +1,4 @@
-"""Test items in training texts: rare n-gram seeds propose places, local alignment scores them.
+"""Test items in training texts: counted word pairs propose places, local alignment scores them.
 
 Test items are a stated set of queries and go to the tasks in blocks of bounded
 size; texts are read in place and never shuffled.
@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from driftline.llm.shingles import runs, word_hashes
 
-SEED_WORDS = 4
-STRETCH = 4
 MIN_ITEM_WORDS = 5
 MIN_SCORE = 0.6
 BLOCK_ITEMS = 20_000
+SLICE_WORDS = 20_000
+# Bounds are worked in floating point.
+ROUNDING = 1e-9
 
 # Points of the alignment.
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -51,114 +52,139 @@ def align(item: np.ndarray, passage: np.ndarray) -> float:
 
 
 class Items:
-    """A block of test items and where their n-grams are."""
+    """A block of test items, their word pairs, and what any alignment of ``min_score`` or more must hold.
 
-    def __init__(self, rows: list[tuple], seed_words: int, stretch: int) -> None:
+    In an item of n words, c changed, missing or added words leave a score of
+    2m - c for m unchanged ones, in c + 1 runs at most. From 2m - c >= 2 n min_score
+    follow m >= n min_score, c <= 2 n (1 - min_score) and at least
+    n (2 min_score - 1) - 1 unchanged pairs. Where that is less than one pair,
+    single words are counted instead, so no place is passed over.
+    """
+
+    def __init__(self, rows: list[tuple], min_score: float) -> None:
         self.ids = [row[0] for row in rows]
         self.words = [hashed_words(row[1]) for row in rows]
-        self.stretch = stretch
-        places = defaultdict(list)
-        self.grams = []
+        sizes = np.array([len(words) for words in self.words])
+        self.least_words = np.maximum(1, np.ceil(sizes * min_score - ROUNDING)).astype(np.int64)
+        pairs = np.ceil(sizes * (2 * min_score - 1) - 1 - ROUNDING).astype(np.int64)
+        self.need = np.where(pairs >= 1, pairs, self.least_words)
+        self.slack = np.floor(2 * sizes * (1 - min_score) + ROUNDING).astype(np.int64)
+        self.reach = sizes + self.slack
+        self.sizes = sizes
+        self.bags = [np.unique(words) for words in self.words]
+        first, last = {}, {}
+        searched = set()
         for number, words in enumerate(self.words):
-            grams = runs(words, min(seed_words, len(words))) if len(words) >= MIN_ITEM_WORDS else np.empty(0, np.uint64)
-            self.grams.append(grams)
-            for at, gram in enumerate(grams.tolist()):
-                places[gram].append((number, at))
-        self.places = dict(places)
-        self.lengths = sorted({min(seed_words, len(w)) for w in self.words if len(w) >= MIN_ITEM_WORDS})
-        self.set_seeds(np.array(sorted(self.places), np.uint64))
-
-    def set_seeds(self, grams: np.ndarray) -> None:
-        self.sorted = grams
+            if len(words) < MIN_ITEM_WORDS:
+                continue
+            length = 2 if pairs[number] >= 1 else 1
+            searched.add(length)
+            for at, gram in enumerate(runs(words, length).tolist()):
+                first.setdefault((gram, number), at)
+                last[gram, number] = at
+        self.lengths = sorted(searched)
+        keys = sorted(first)
+        # A row per n-gram and item, with its first and last place there, and where the rows of each n-gram begin.
+        self.grams, self.begins = np.unique(np.array([gram for gram, _ in keys], np.uint64), return_index=True)
+        self.begins = np.append(self.begins, len(keys))
+        self.numbers = np.array([number for _, number in keys], np.int64)
+        self.first = np.array([first[key] for key in keys], np.int64)
+        self.last = np.array([last[key] for key in keys], np.int64)
         self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[grams >> np.uint64(48)] = True
-
-    def choose(self, often: dict[int, int]) -> None:
-        """Keep as seeds of each item the n-gram met in fewest texts of every ``stretch`` in a row, the first of equals."""
-        seeds = set()
-        for grams in self.grams:
-            row = [(often.get(g, 0), at, g) for at, g in enumerate(grams.tolist())]
-            for at in range(max(1, len(row) - self.stretch + 1) if row else 0):
-                seeds.add(min(row[at : at + self.stretch])[2])
-        self.set_seeds(np.array(sorted(seeds), np.uint64))
+        self.maybe[self.grams >> np.uint64(48)] = True
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Seeds in a text and the word each begins at."""
+        """Places of the n-grams of the block in a text: which n-gram, and the word it begins at."""
         found, at = [], []
         for length in self.lengths:
             grams = runs(words, length)
             near = np.flatnonzero(self.maybe[grams >> np.uint64(48)])
-            place = np.searchsorted(self.sorted, grams[near])
-            good = place < len(self.sorted)
-            good[good] = self.sorted[place[good]] == grams[near[good]]
-            found.append(grams[near[good]])
+            place = np.searchsorted(self.grams, grams[near])
+            good = place < len(self.grams)
+            good[good] = self.grams[place[good]] == grams[near[good]]
+            found.append(place[good])
             at.append(near[good])
-        return (np.concatenate(found), np.concatenate(at)) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        return (np.concatenate(found), np.concatenate(at)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def spans(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, first and last word around every n-gram of an item that has as many others near it as the item needs."""
+        found, at = self.hits(words)
+        each = self.begins[found + 1] - self.begins[found]
+        total = np.cumsum(each)
+        rows = np.arange(total[-1] if len(total) else 0) - np.repeat(total - each - self.begins[found], each)
+        at, number = np.repeat(at, each), self.numbers[rows]
+        order = np.lexsort((at, number))
+        rows, at, number = rows[order], at[order], number[order]
+        begin = np.arange(len(rows))
+        end = begin + self.need[number] - 1
+        inside = np.flatnonzero(end < len(rows))
+        end = end[inside]
+        near = (number[end] == number[inside]) & (at[end] - at[inside] < self.reach[number[inside]])
+        change = np.zeros(len(rows) + 1, np.int64)
+        np.add.at(change, begin[inside[near]], 1)
+        np.add.at(change, end[near] + 1, -1)
+        live = np.cumsum(change[:-1]) > 0
+        rows, at, number = rows[live], at[live], number[live]
+        slack = self.slack[number]
+        return number, at - self.last[rows] - slack, at - self.first[rows] + self.sizes[number] + slack
+
+    def places(self, words: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """Passages to align with each item: spans that meet are one, and hold enough of its words close together."""
+        overlap = int(self.reach.max(initial=0))
+        parts = [[part[0], part[1] + at, part[2] + at] for at in range(0, max(1, len(words)), SLICE_WORDS) for part in [self.spans(words[at : at + SLICE_WORDS + overlap])]]
+        number, first, last = (np.concatenate(column) for column in zip(*parts))
+        out = defaultdict(list)
+        if not len(number):
+            return out
+        order = np.lexsort((first, number))
+        number, first, last = number[order], np.maximum(first[order], 0), np.minimum(last[order], len(words))
+        # Ends of different items are kept apart by a whole text.
+        apart = number * (len(words) + 1)
+        furthest = np.maximum.accumulate(last + apart)
+        new = np.append(True, first[1:] + apart[1:] > furthest[:-1])
+        new[1:] |= number[1:] != number[:-1]
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], len(new)) - 1
+        for item, a, b in zip(number[starts].tolist(), first[starts].tolist(), (furthest - apart)[ends].tolist()):
+            bag, passage = self.bags[item], words[a:b]
+            known = np.append(0, np.cumsum(bag[np.minimum(np.searchsorted(bag, passage), len(bag) - 1)] == passage))
+            width = min(len(passage), int(self.reach[item]))
+            if (known[width:] - known[: len(known) - width]).max() >= self.least_words[item]:
+                out[item].append((a, b))
+        return out
 
     def matches(self, words: np.ndarray, min_score: float) -> list[tuple[int, float, int, int]]:
         """Items in a text with the best score and the words it was found between."""
-        windows = defaultdict(list)
-        for gram, at in zip(*(part.tolist() for part in self.hits(words))):
-            for number, place in self.places[gram]:
-                size = len(self.words[number])
-                windows[number].append((max(0, at - place - size // 2), min(len(words), at - place + size + size // 2)))
         out = []
-        for number, spans in windows.items():
-            merged: list[list[int]] = []
-            for first, last in sorted(spans):
-                if merged and first <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], last)
-                else:
-                    merged.append([first, last])
-            score, first, last = max((align(self.words[number], words[a:b]), -a, b) for a, b in merged)
+        for number, spans in self.places(words).items():
+            score, first, last = max((align(self.words[number], words[a:b]), -a, b) for a, b in spans)
             if score >= min_score:
                 out.append((number, score, -first, last))
         return sorted(out)
 
 
-def blocks(docs: DataFrame, items: DataFrame, *, item_col: str = "item_id", item_text: str = "text", text_col: str = "text", seed_words: int = SEED_WORDS, stretch: int = STRETCH, block_items: int = BLOCK_ITEMS) -> Iterator:
-    """Blocks of items, ready for the tasks, with seeds chosen by how many of all texts hold each n-gram.
-
-    Every unchanged stretch of ``seed_words + stretch - 1`` words of an item holds a
-    seed. Items of fewer than five words are too short to tell and are passed over.
-    """
-    spark = docs.sparkSession
+def blocks(docs: DataFrame, items: DataFrame, *, item_col: str = "item_id", item_text: str = "text", min_score: float = MIN_SCORE, block_items: int = BLOCK_ITEMS) -> Iterator:
+    """Blocks of items, ready for the tasks. Items of fewer than five words are too short to tell and are passed over."""
     rows = items.select(item_col, item_text).filter(F.col(item_text).isNotNull()).toLocalIterator()
     for block in batched(map(tuple, rows), block_items):
-        made = Items(list(block), seed_words, stretch)
-        if not made.places:
-            continue
-        sent = spark.sparkContext.broadcast(made)
-
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            often: dict[int, int] = defaultdict(int)
-            for batch in batches:
-                for text in batch.column("text"):
-                    for gram in np.unique(sent.value.hits(hashed_words(text.as_py()))[0]).view(np.int64).tolist():
-                        often[gram] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(often), pa.int64()), pa.array(list(often.values()), pa.int64())], ["gram", "n"])
-
-        texts = docs.select(F.col(text_col).alias("text"))
-        # A row per n-gram of the block at most.
-        counted = texts.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-        made.choose({row["gram"] % (1 << 64): row["n"] for row in counted})
-        yield spark.sparkContext.broadcast(made)
+        made = Items(list(block), min_score)
+        if made.lengths:
+            yield docs.sparkSession.sparkContext.broadcast(made)
 
 
-def find(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", min_score: float = MIN_SCORE, **seeds) -> DataFrame:
+def find(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", min_score: float = MIN_SCORE, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """``id, item, score, first_word, last_word``: the items found in each text.
 
-    ``score`` is the best local alignment of the item with the text around its
-    seeds, 1 for an unchanged copy; those of ``min_score`` or more are returned,
-    one row per row of texts and item. Repeated items are items of their own, and
-    so are repeated rows. NULL and empty texts and items match nothing. Other
+    ``score`` is the best local alignment of the item with the text, 1 for an
+    unchanged copy; those of ``min_score`` or more are returned, one row per row of
+    texts and item. Repeated items are items of their own, and so are repeated rows. NULL and empty texts and items match nothing. Other
     columns are not looked at.
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind, item_kind = named.schema["id"].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     schema = f"id {kind}, item {item_kind}, score double, first_word bigint, last_word bigint"
     found = docs.sparkSession.createDataFrame([], schema)
-    for sent in blocks(docs, items, item_col=item_col, item_text=item_text, text_col=text_col, **seeds):
+    for sent in blocks(docs, items, item_col=item_col, item_text=item_text, min_score=min_score, block_items=block_items):
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -181,10 +207,10 @@ def find(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
 
 
-def without_items(docs: DataFrame, items: DataFrame, *, text_col: str = "text", min_score: float = MIN_SCORE, **seeds) -> DataFrame:
+def without_items(docs: DataFrame, items: DataFrame, *, text_col: str = "text", min_score: float = MIN_SCORE, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """The rows of ``docs`` in which no item is found, as they are."""
     left = docs
-    for sent in blocks(docs, items, text_col=text_col, **seeds):
+    for sent in blocks(docs, items, min_score=min_score, block_items=block_items):
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -133,6 +133,35 @@ def test_edited_copies(spark):
     assert decontaminate.find(texts(spark, []), table).count() == 0
 
 
+def edited(rng, text, every):
+    """A copy with a word replaced, left out or added after every ``every`` words."""
+    out, words = [], text.split()
+    for at, word in enumerate(words, 1):
+        kind = rng.choice(("replace", "replace", "drop", "add")) if at % every == 0 else None
+        out += {"replace": ["other"], "drop": [], "add": [word, "more"], None: [word]}[kind]
+    return " ".join(out)
+
+
+def test_densely_edited_copies(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choice(words[:12] if rng.random() < 0.3 else words) for _ in range(n))) for i, n in enumerate([5, 6, 8, 11, 14, 20, 20, 27, 33, 45])]
+    filler = lambda n: " ".join(rng.choice(words[:12]) for _ in range(n))
+    # An exact copy of every item makes the edited ones hard to find by what is frequent.
+    rows = [(100 + i, text) for i, text in items]
+    rows += [(1000 + 10 * i + every, f"{filler(40)} {edited(rng, text, every)} {filler(70)}") for i, text in items for every in (2, 3, 4, 5, 6, 7)]
+    twenty = items[5][1].split()
+    twenty[6] = twenty[13] = "other"
+    rows.append((1, " ".join(twenty)))
+    docs, table = texts(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    for least in (0.6, 0.5, 0.75):
+        aligned = {(doc, item): decontaminate.align(decontaminate.hashed_words(passage), decontaminate.hashed_words(text)) for doc, text in rows for item, passage in items}
+        expected = {pair: round(score, 6) for pair, score in aligned.items() if score >= least}
+        got = {(r.doc_id, r.item_id): r.score for r in decontaminate.find(docs, table, min_score=least).collect()}
+        assert got == expected
+        assert least > 0.6 or {(1000 + 10 * i + every, i) for i in range(4, 10) for every in (5, 6, 7)} | {(1, 5)} <= set(got)
+
+
 def test_op3_finds_whole_items(spark, sf):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
