@@ -18,16 +18,21 @@ BASE_KINDS = KINDS[:4]
 #   ip    [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
 #   card  [0-9]([\x20-]?[0-9])+ of 14 to 19 digits: a whole run, so shorter and longer ones are not proposed
 #   phone \+[0-9][\x20().0-9-]+[0-9]
+#   iban  the first four characters only, at every place that eleven more follow; the end is found by the checksum
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9]|[0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",
 }
 # What every match holds: texts without it are not searched.
 MARKS = {"email": "@", "phone": "+"}
 
+# Letters and digits of an account number, each of which a blank may precede.
+ACCOUNT = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
+ACCOUNT_LEAST, ACCOUNT_MOST = 15, 34
+
 CONTEXT_CHARS = 40
 # Score of a confirmed span, and what words close ahead of it add or take away.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
@@ -76,11 +81,24 @@ def confirmed(kind: str, found: Column) -> Column:
         return F.length(digits).between(14, 19) & luhn(digits)
     if kind == "phone":
         return F.length(digits).between(10, 15)
-    if kind == "iban":
-        return F.length(F.regexp_replace(found, " ", "")).between(15, 34) & (mod97(found) == 1)
     return F.lit(True)
 
 
+def account_length(ahead: Column, run: Column) -> Column:
+    """Characters of the longest start of ``run`` that ends in ``ahead`` there and is an account number; NULL if none does.
+
+    Capital words and numbers behind a number look like parts of it, so each end is tried.
+    """
+    lengths = F.sequence(F.greatest(F.length(run), F.lit(ACCOUNT_LEAST)), F.lit(ACCOUNT_LEAST), F.lit(-1))
+
+    def ends(length: Column) -> Column:
+        part = F.substr(run, F.lit(1), length)
+        at_end = F.substr(ahead, length, F.lit(2)).rlike(r"^[A-Z0-9](?![A-Za-z0-9])")
+        return at_end & F.length(F.regexp_replace(part, " ", "")).between(ACCOUNT_LEAST, ACCOUNT_MOST) & (mod97(part) == 1)
+
+    return F.get(F.filter(lengths, ends), F.lit(0))
+
+
 def score(kind: str, before: Column) -> Column:
     """Between 0 and 1: by the kind, and by words of the 40 characters ahead since the last match."""
     near = F.lower(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS))
@@ -124,6 +142,24 @@ def _spans_of(kind: str, text: Column) -> Column:
     return F.when(there, found).otherwise(F.array().cast(_SPAN))
 
 
+def _accounts(text: Column) -> Column:
+    """Confirmed spans of account numbers in order, none within another.
+
+    Starts are proposed first. Each step is a list of its own, so nothing is worked again for every end tried.
+    """
+    ahead = F.transform(_spans_of("iban", text), lambda s: F.struct(s.alias("span"), F.substr(text, s["start"] + 1, F.lit(2 * ACCOUNT_MOST)).alias("ahead")))
+    cut = F.transform(ahead, lambda p: F.struct(p["span"].alias("span"), p["ahead"].alias("ahead"), F.regexp_extract(p["ahead"], ACCOUNT, 0).alias("run")))
+    known = F.transform(cut, lambda p: F.struct(p["span"].alias("span"), account_length(p["ahead"], p["run"]).alias("length")))
+
+    def step(spans: Column, p: Column) -> Column:
+        begin = p["span"]["start"]
+        apart = F.coalesce(begin >= F.get(spans, F.size(spans) - 1)["end"], F.lit(True))
+        span = p["span"].withField("end", begin + p["length"])
+        return F.when(p["length"].isNotNull() & apart, F.concat(spans, F.array(span).cast(_SPAN))).otherwise(spans)
+
+    return F.aggregate(known, F.array().cast(_SPAN), step)
+
+
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """``id, text, spans``: all confirmed spans of each text with kind and score, by start, then kind.
 
@@ -135,7 +171,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min
     """
     named = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    added = F.filter(_spans_of("iban", text), lambda span: span["score"] >= min_score)
+    added = F.filter(_accounts(text), lambda span: span["score"] >= min_score)
     spans = F.array_sort(F.concat(*[_spans_of(kind, text) for kind in BASE_KINDS], added))
     return named.withColumn("spans", spans)
 
@@ -172,7 +208,7 @@ def mask(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars"
     """
     text = F.col(text_col)
     filled = F.coalesce(text, F.lit(""))
-    added = F.filter(_spans_of("iban", filled), lambda span: span["score"] >= min_score)
+    added = F.filter(_accounts(filled), lambda span: span["score"] >= min_score)
     spans = F.array_sort(F.concat(*[_spans_of(kind, filled) for kind in BASE_KINDS], added))
     # Named apart from the columns: within one select a lambda would see the new text.
     found = docs.withColumn("__spans", spans).withColumn("__masked", masked(text, F.col("__spans")))

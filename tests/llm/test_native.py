@@ -62,6 +62,22 @@ def test_account_numbers_and_context(spark):
     assert near > plain
 
 
+def test_account_numbers_before_capitals_and_digits(spark):
+    plain, cut = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    followers = ["", ".", " Bitte zahlen", " Thank you", " OK", " 5 Euro", " BITTE ZAHLEN SIE", "\nBitte", " A", ", EUR 5", " 2024-01-01", " GB82", "-X"]
+    rows = [(2 * i + k, f"an {number}{behind}") for i, behind in enumerate(followers) for k, number in enumerate((plain, cut))]
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"] for r in pii.find(texts(spark, rows)).collect()}
+    assert found == {i: [(3, 3 + len((plain, cut)[i % 2]))] for i, _ in rows}
+    # Numbers side by side, behind what looks like the start of one, and what is none.
+    other = "GB82 WEST 1234 5698 7654 32"
+    several = [f"{plain} {other} {cut}", f"AB12 {cut} Bitte", f"{cut} {plain}", f"{plain}Thank", f"x{plain}", f"{cut}1 OK", "NO9386011117947 Takk"]
+    expected = [[plain, other, cut], [cut], [cut, plain], [], [], [], ["NO9386011117947"]]
+    got = {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind == "iban"] for r in pii.find(texts(spark, list(enumerate(several)))).collect()}
+    assert got == dict(enumerate(expected))
+    docs = spark.createDataFrame([(1, f"😀 {cut} Bitte {plain} OK")], "doc_id long, text string")
+    assert pii.mask(docs).first().text == "😀 [IBAN] Bitte [IBAN] OK"
+
+
 def test_masks(spark):
     rows = [(1, "write a@b.cc or +49 151 2345678, 😀 4111 1111 1111 1111."), (2, "nothing"), (3, None), (4, "")]
     docs = spark.createDataFrame([(i, t, 7, "k") for i, t in rows], "doc_id long, text string, n_chars long, spans string")
