@@ -26,7 +26,11 @@ from driftline.llm.ship import ship
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    predicted = langid.predict(docs, langid.learn(docs), keep=docs.columns, lang_name="_predicted", score_name="_score")
+    model = langid.learn(docs)
+    if not model.families.names:
+        # No language was learned, so none can be told apart; what is rejected stays the same.
+        return langid.with_letters(docs)
+    predicted = langid.predict(docs, model, keep=docs.columns, lang_name="_predicted", score_name="_score")
     return predicted.filter(F.col("_predicted") != langid.UNDETERMINED).select(*docs.columns)
 
 

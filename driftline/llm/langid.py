@@ -225,6 +225,17 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list
     return labelled.toDF(*keep, lang_name, score_name)
 
 
+def with_letters(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a letter, as ``predict`` tells them; they have a language, learned or not."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_col)
+            yield batch.filter(pa.array([any(map(str.isalpha, text.as_py() or "")) for text in texts], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether a document is kept from learning: the CRC-32 of its id as text leaves 2 by 4. NULL ids are not."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -191,6 +191,16 @@ def test_pipeline(spark):
     assert set(seen["tokens"]) == set(seen["personal"])
 
 
+def test_no_language_to_learn_from(spark):
+    rows = [(1, "the cat and the dog"), (2, "der Hund"), (3, "12 -- 34"), (4, None), (5, ""), (None, "no id"), (6, "😀 5 é"), (6, "7 𝒳")]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    for lang in (lambda i: None, lambda i: "en" if i is None else None):
+        docs = spark.createDataFrame([(i, t, lang(i), "s", len(t or "")) for i, t in rows], kinds)
+        kept = corpus_pipeline.language(spark, docs, "")
+        assert kept.columns == docs.columns
+        assert sorted(map(str, kept.collect())) == sorted(str(r) for r in docs.collect() if any(c.isalpha() for c in r.text or ""))
+
+
 def test_pipeline_of_nothing(spark):
     empty = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
