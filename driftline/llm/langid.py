@@ -19,9 +19,8 @@ from driftline.llm.files import kept
 
 UNDETERMINED = "und"
 DIMENSIONS = 2048
-# Bounds of the sample the classifiers are fitted on.
+# Bound of the sample the classifiers are fitted on.
 TEXTS_PER_LANGUAGE = 800
-MAX_LANGUAGES = 200
 
 # Families of common languages; any other language is a family of its own.
 FAMILIES = {
@@ -157,14 +156,13 @@ def _fit_duels(sample: DataFrame, label: str, names: list[str]) -> Duels:
 def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = TEXTS_PER_LANGUAGE, dimensions: int = DIMENSIONS) -> Model:
     """Classifiers learned from the rows with a language and a letter in their text.
 
-    They are fitted on a sample of about ``per_language`` texts for each of the
-    ``MAX_LANGUAGES`` most frequent languages, picked by a hash of the id, whole
-    texts each. Equal counts and ties go by name, so the same rows give the same
+    They are fitted on a sample of about ``per_language`` texts for each language,
+    picked by a hash of the id, whole texts each. Ties go by name, so the same rows give the same
     model. Without any labelled row the model leaves all texts undetermined.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != ""))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return Model(Duels([]), {}, dimensions)
     share = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], min(1.0, per_language / row["count"]))])

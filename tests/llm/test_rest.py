@@ -38,6 +38,13 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in langid.predict(texts(spark, [(1, "abc")]), alone, keep=["doc_id"]).collect()} == {"fr"}
 
 
+def test_every_label_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "_fit_duels", lambda sample, label, names: langid.Duels(names))
+    rows = [(i, "some words", f"l{i % 230:03}") for i in range(460)] + [(999, "a word", "rare")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(lang for duels in model.within.values() for lang in duels.names) == [*(f"l{i:03}" for i in range(230)), "rare"]
+
+
 def expected_records(rows, least=0):
     largest = {}
     for page, _, html in rows:
