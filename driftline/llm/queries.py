@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, codes, counts, decontaminate, jaccard, langid, pii, quality, substrings, warc
+from driftline.llm import bpe, centroids, codes, counts, decontaminate, jaccard, langid, packing, pii, quality, substrings, warc, whitening
 from driftline.llm.ship import ship
 from driftline.session import working_path
 
@@ -71,6 +71,40 @@ def op9_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.with_crc(codes.read_codes(spark, folder, files))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    if model is None:
+        kinds = "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
+        return spark.createDataFrame([], kinds)
+    rows = whitening.whiten(vectors, model)
+    explained = F.array(*[F.lit(share).cast("double") for share in model.explained])
+    each = F.posexplode(F.arrays_zip("whitened", explained.alias("explained")))
+    return rows.select("vec_id", F.expr("try_cast(deviation AS bigint)").alias("deviation"), each.alias("place", "at")).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "at.whitened",
+        "at.explained",
+        F.lit(whitening.identity_error(vectors, model)).cast("double").alias("identity_error"),
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
+    inertia = F.coalesce(F.sum("cluster_inertia").over(Window.partitionBy()), F.lit(0)).alias("inertia")
+    named = found.select("cluster", "cluster_inertia", inertia, F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+    # A row per centroid.
+    return placed.join(F.broadcast(named), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    made = packing.pieces(table(spark, sf_dir, "documents"), *paths, end_id=END_ID)
+    return packing.pack(made).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -82,4 +116,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_codes": op9_codes,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_centroids": op12_centroids,
+    "op13_packing": op13_packing,
 }

@@ -60,4 +60,32 @@ SELECT doc_id, count(word)::BIGINT AS n_words, count(*) FILTER (gone)::BIGINT AS
   sha256(coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM cut LEFT JOIN marked USING (doc_id) GROUP BY doc_id"""
 
-SQL: dict[str, str] = {"op5_warc": ARCHIVE, "op6_jaccard": NEAR_COPIES, "op7_substrings": PASSAGES}
+
+
+def _clusters(k: int = 16, rounds: int = 3) -> str:
+    """Assignments and centroids of every round as tables of their own."""
+    steps = [
+        """WITH whole AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS number, v AS c FROM whole
+  QUALIFY number < {k})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT id, vec_id, v, number, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS apart
+  FROM whole, c{i} QUALIFY row_number() OVER (PARTITION BY id ORDER BY apart, number) = 1)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  WITH sums AS (SELECT number, place, sum(x)::BIGINT AS total, count(*) AS n
+    FROM (SELECT number, unnest(v) AS x, unnest(range(64)) AS place FROM a{i}) GROUP BY number, place),
+  means AS (SELECT number, list((total - ((total % n) + n) % n) // n ORDER BY place) AS c FROM sums GROUP BY number)
+  SELECT number, coalesce(means.c, c{i}.c) AS c FROM c{i} LEFT JOIN means USING (number))""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, number::INT AS cluster, apart AS distance, sum(apart) OVER (PARTITION BY number)::BIGINT AS cluster_inertia,
+  sum(apart) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (number)"""
+
+
+SQL: dict[str, str] = {"op12_centroids": _clusters(), "op5_warc": ARCHIVE, "op6_jaccard": NEAR_COPIES, "op7_substrings": PASSAGES}
