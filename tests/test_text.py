@@ -127,9 +127,9 @@ def test_zipf_of_an_exact_power_law(spark):
 
 
 def test_readability(spark):
-    df = spark.createDataFrame([(1, "Uno due. Tre!  ..."), (2, ""), (3, None)], "message_id int, text string")
+    df = spark.createDataFrame([("a", 1, "Uno due. Tre!  ..."), ("a", 2, ""), ("a", 3, None)], "channel_username string, message_id int, text string")
     lengths = textstats.text_lengths(df)
-    assert rows(lengths) == [(1, 3, 18, 2, 9), (2, 0, 0, 0, 0)]
-    assert rows(textstats.gulpease(lengths)) == [(1, 89 + (300 * 2 - 10 * 9) / 3), (2, None)]
+    assert rows(lengths) == [("a", 1, 3, 18, 2, 9), ("a", 2, 0, 0, 0, 0)]
+    assert rows(textstats.gulpease(lengths)) == [("a", 1, 89 + (300 * 2 - 10 * 9) / 3), ("a", 2, None)]
     assert rows(textstats.sentence_length(lengths), "words_per_sentence") == [(1.5,), (None,)]
     assert rows(textstats.letters_per_word(lengths), "letters_per_word") == [(3.0,), (None,)]
