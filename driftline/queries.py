@@ -658,6 +658,39 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(target).drop("batch").withColumn("date", clean.iso_utc(F.col("date")))
 
 
+@query
+def stream_dedup_merged(spark, sf_dir):
+    """Twelve files with copies, a batch each, and an index merged at every second run; every message is kept once."""
+    events = fixtures.table(spark, sf_dir, "events")
+    inbox, target, keys, log = (working_path(spark, name) for name in ("inbox", "merged", "merged-keys", "merged-log"))
+    parts = events.withColumn("part", F.explode(F.array(F.pmod(F.xxhash64("event_id"), F.lit(12)), F.pmod("event_id", F.lit(12)))))
+    parts.repartition(12, "part").drop("part").write.parquet(inbox)
+    schema = fixtures.table(spark, sf_dir, "events").schema
+    posts = fixtures.header_posts(collection.message_stream(spark, inbox, schema, files_per_batch=1))
+    collection.append_new(collection.collected(posts), target, keys, log, fan=2).awaitTermination()
+    return spark.read.parquet(target).drop("batch").withColumn("date", clean.iso_utc(F.col("date")))
+
+
+@query
+def stream_flush(spark, sf_dir):
+    """One half is written by a timed flush; the other arrives as the collection is told to stop, and is written by the last one."""
+    events = fixtures.table(spark, sf_dir, "events")
+    inbox, target, log = (working_path(spark, name) for name in ("inbox", "flushed", "flushed-log"))
+    events.filter(F.col("event_id") % 2 == 0).write.mode("append").parquet(inbox)
+
+    def start(interval):
+        return collection.append(collection.collected(_event_stream(spark, sf_dir, inbox)), target, log, interval_seconds=interval)
+
+    def stop(running):
+        if not any(progress["numInputRows"] for progress in running.recentProgress):
+            return False
+        events.filter(F.col("event_id") % 2 == 1).write.mode("append").parquet(inbox)
+        return True
+
+    collection.collect_until(start, stop, interval_seconds=1)
+    return spark.read.parquet(target).withColumn("date", clean.iso_utc(F.col("date")))
+
+
 @query
 def stream_resume(spark, sf_dir):
     """Two halves arrive one after the other; each run only reads what is new."""
@@ -677,3 +710,14 @@ def stream_trace(spark, sf_dir):
     records = collection.collected(_event_stream(spark, sf_dir))
     collection.append_trace(records, target, working_path(spark, "trace-log")).awaitTermination()
     return collection.read_trace(spark, target)
+
+
+@query
+def stream_trace_merged(spark, sf_dir):
+    """Nine files, a batch each; the counts of every three batches, and of every three of those, are added up."""
+    events = fixtures.table(spark, sf_dir, "events")
+    inbox, target, log = (working_path(spark, name) for name in ("inbox", "sums", "sums-log"))
+    events.repartition(9, "event_id").write.parquet(inbox)
+    posts = fixtures.header_posts(collection.message_stream(spark, inbox, events.schema, files_per_batch=1))
+    collection.append_trace(collection.collected(posts), target, log, fan=3).awaitTermination()
+    return collection.read_trace(spark, target, fan=3)

@@ -666,8 +666,10 @@ UNION ALL SELECT username, channel_id % 5 FROM channels WHERE channel_id % 2 = 0
         f"SELECT {record()} FROM headers WHERE coalesce(text, '') <> '' AND date >= TIMESTAMP '2024-01-03 00:00:00'", headers
     )
     sql["stream_dedup"] = with_ctes(f"SELECT {record()} FROM headers WHERE coalesce(text, '') <> ''", headers)
-    sql["stream_resume"] = sql["stream_dedup"]
+    for same in ("stream_resume", "stream_dedup_merged", "stream_flush"):
+        sql[same] = sql["stream_dedup"]
     sql["stream_trace"] = with_ctes(
         "SELECT channel_username, count(*)::BIGINT AS messages_written FROM headers WHERE coalesce(text, '') <> '' GROUP BY 1", headers
     )
+    sql["stream_trace_merged"] = sql["stream_trace"]
     return sql
