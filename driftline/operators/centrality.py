@@ -6,10 +6,21 @@ directions, no loops, positive whole weights.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.session import stage
+from driftline.operators.joins import lookup_join
+from driftline.operators.ranking import global_rank
+from driftline.session import shuffle_width, stage
+
+# Graphs of so many edges, both ways counted, are sent to all tasks: twelve bytes each, 240 MB at most.
+MAX_EDGES = 20_000_000
+# Rows of a step for a slice of sources in larger ones.
+WORKING_ROWS = 200_000_000
 
 COLUMNS = ["token", "degree_centrality", "betweenness_centrality", "weighted_degree"]
 
@@ -32,12 +43,13 @@ def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def distances(edges: DataFrame) -> DataFrame:
-    """``s, v, d``: length of the shortest path between all connected, different nodes.
+def distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
+    """``s, v, d``: length of the shortest path from the ``sources`` (``token``) to all other nodes they are connected with.
 
     Only pairs that got shorter in a round are extended in the next one.
     """
-    best = stage(edges.select(F.col("a").alias("s"), F.col("b").alias("v"), F.col("weight").alias("d"), F.lit(True).alias("improved")))
+    first = edges.join(sources.select(F.col("token").alias("a")), "a", "left_semi")
+    best = stage(first.select(F.col("a").alias("s"), F.col("b").alias("v"), F.col("weight").alias("d"), F.lit(True).alias("improved")))
     steps = edges.select(F.col("a").alias("v"), F.col("b").alias("next"), "weight")
     while True:
         longer = (
@@ -62,6 +74,7 @@ def shortest_path_steps(dist: DataFrame, edges: DataFrame) -> DataFrame:
     """``s, u, v``: edge u-v is the last step of a shortest path from s to v."""
     step = edges.select(F.col("a").alias("u"), F.col("b").alias("v"), "weight")
     from_source = dist.select("s", F.col("v").alias("u"), F.col("d").alias("du"))
+    # Only sources have a distance, so steps from other nodes go in the join below.
     direct = step.select(F.col("u").alias("s"), "u", "v", F.col("weight").alias("d"))
     via = from_source.join(step, "u").select("s", "u", "v", (F.col("du") + F.col("weight")).alias("d"))
     return direct.unionByName(via).join(dist, ["s", "v", "d"]).select("s", "u", "v")
@@ -109,12 +122,122 @@ def dependencies(steps: DataFrame, paths: DataFrame) -> DataFrame:
             return _sum_of_rounds(rounds, "share")
 
 
-def betweenness(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``token, betweenness_centrality``, exact and normalised; the edge weight is a distance."""
-    dist = distances(edges)
+def _slice_shares(sources: DataFrame, edges: DataFrame) -> DataFrame:
+    """``token, share`` summed over the ``sources``: distances and path counts forwards, parts of paths backwards."""
+    dist = distances(edges, sources)
     steps = stage(shortest_path_steps(dist, edges))
     paths = stage(path_counts(steps))
-    through = dependencies(steps, paths).groupBy(F.col("v").alias("token")).agg(F.sum("share").alias("share"))
+    return dependencies(steps, paths).groupBy(F.col("v").alias("token")).agg(F.sum("share").alias("share"))
+
+
+def shares_by_slices(nodes: DataFrame, edges: DataFrame, working_rows: int = WORKING_ROWS) -> DataFrame:
+    """``token, share``: over all sources, slice by slice.
+
+    A step of a slice makes at most a row per source and edge, so as many sources
+    are taken at a time as keep that below ``working_rows``, one at least. Only a
+    sum per word outlives its slice.
+    """
+    n, m = nodes.count(), edges.count()
+    slices = min(max(1, n), -(-n * m // working_rows) or 1)
+    dealt = stage(global_rank(nodes.select("token"), [F.col("token")]))
+    sums = stage(nodes.select("token", F.lit(0.0).alias("share")))
+    for k in range(slices):
+        part = _slice_shares(dealt.filter(F.col("rank") % slices == k), edges)
+        sums = stage(sums.unionByName(part).groupBy("token").agg(F.sum("share").alias("share")))
+    return sums
+
+
+class Arrays:
+    """A graph as arrays: the edges of each node side by side, light ones first."""
+
+    def __init__(self, n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> None:
+        order = np.lexsort((weight, a))
+        self.n, self.ends, self.weights = n, b[order].astype(np.int32), weight[order]
+        self.begins = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=n))])
+
+    def _places(self, nodes: np.ndarray, heaviest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the edges of ``nodes`` up to a weight, and how many each node has."""
+        begins, ends = self.begins[nodes], self.begins[nodes + 1]
+        if heaviest < self.weights.max(initial=0):
+            ends = begins + [np.searchsorted(self.weights[i:j], heaviest, side="right") for i, j in zip(begins, ends)]
+        sizes = ends - begins
+        return np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum()), sizes
+
+    def distances(self, source: int) -> np.ndarray:
+        """The shortest distance to each node; all nodes of one distance are settled at once."""
+        far = np.iinfo(np.int64).max
+        dist = np.full(self.n, far)
+        dist[source] = 0
+        left = np.ones(self.n, bool)
+        while left.any() and (near := dist[left].min()) < far:
+            front = np.flatnonzero(left & (dist == near))
+            left[front] = False
+            # No heavier edge can shorten a way to what is left.
+            bound = dist[left].max(initial=0)
+            places, _ = self._places(front, int(bound - near - 1))
+            ends, found = self.ends[places], self.weights[places] + near
+            better = found < dist[ends]
+            np.minimum.at(dist, ends[better], found[better])
+        return dist
+
+    def shares(self, source: int) -> np.ndarray:
+        """For each node the part of the shortest paths from ``source`` that runs through it, summed over all targets."""
+        dist = self.distances(source)
+        reached = np.flatnonzero(dist < np.iinfo(np.int64).max)
+        places, sizes = self._places(reached, int(dist[reached].max()))
+        begin, end = np.repeat(reached, sizes), self.ends[places]
+        on = dist[begin] + self.weights[places] == dist[end]
+        begin, end = begin[on], end[on]
+        order = np.argsort(dist[end], kind="stable")
+        begin, end = begin[order], end[order]
+        levels = np.flatnonzero(np.diff(dist[end], prepend=-1))
+        bounds = list(zip(levels, [*levels[1:], len(end)]))
+        paths, share = np.zeros(self.n), np.zeros(self.n)
+        paths[source] = 1
+        for i, j in bounds:
+            np.add.at(paths, end[i:j], paths[begin[i:j]])
+        for i, j in reversed(bounds):
+            u, v = begin[i:j], end[i:j]
+            np.add.at(share, u, paths[u] / paths[v] * (1 + share[v]))
+        share[source] = 0
+        return share
+
+
+def shares_by_arrays(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``token, share`` of a graph that fits in a task: tasks get slices of sources, work through them one by one and send one sum per word."""
+    spark = nodes.sparkSession
+    ids = stage(global_rank(nodes.select("token"), [F.col("token")]).select("token", (F.col("rank") - 1).cast("int").alias("id")))
+    named = lookup_join(edges, ids.select(F.col("token").alias("a"), F.col("id").alias("from")), "a", "inner")
+    named = lookup_join(named, ids.select(F.col("token").alias("b"), F.col("id").alias("to")), "b", "inner")
+    # At most MAX_EDGES rows of three numbers, counted before.
+    found = named.select("from", "to", F.col("weight").cast("bigint").alias("weight")).toArrow()
+    n = ids.count()
+    sent = spark.sparkContext.broadcast(Arrays(n, *(found.column(name).to_numpy() for name in ("from", "to", "weight"))))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph = sent.value
+        total = np.zeros(graph.n)
+        for batch in batches:
+            for source in batch.column("id").to_pylist():
+                total += graph.shares(source)
+        on = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array(total[on])], ["id", "share"])
+
+    width = max(spark.sparkContext.defaultParallelism, shuffle_width(spark))
+    sources = ids.select("id").repartition(min(max(1, n), 4 * width))
+    sums = sources.mapInArrow(each, "id int, share double").groupBy("id").agg(F.sum("share").alias("share"))
+    return ids.join(sums, "id").select("token", "share")
+
+
+def betweenness(nodes: DataFrame, edges: DataFrame, *, max_edges: int = MAX_EDGES, working_rows: int = WORKING_ROWS) -> DataFrame:
+    """``token, betweenness_centrality``, exact and normalised; the edge weight is a distance.
+
+    Sources are taken in slices, and no table of all pairs is held. A graph of up
+    to ``max_edges`` edges is sent to all tasks; the slices of a larger one are
+    joins of at most about ``working_rows`` rows.
+    """
+    edges = stage(edges.select("a", "b", "weight"))
+    through = shares_by_arrays(nodes, edges) if edges.count() <= max_edges else shares_by_slices(nodes, edges, working_rows)
     n = node_count(nodes)
     value = F.coalesce("share", F.lit(0.0)) / ((n - 1) * (n - 2))
     return nodes.join(through, "token", "left").select(

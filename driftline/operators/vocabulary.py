@@ -14,6 +14,10 @@ from driftline.operators.joins import fits_broadcast, lookup_join
 from driftline.session import shuffle_width
 
 
+# Terms of a block of a long list; two blocks are a unit of work.
+BLOCK_TERMS = 256
+
+
 def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
     """Each different text once, with its number of ``copies``."""
     return docs.groupBy(F.col(text).alias("text")).agg(F.count(F.lit(1)).alias("copies"))
@@ -107,12 +111,28 @@ def top_tokens(vocab: DataFrame, n: int = 25) -> DataFrame:
     return word_frequency(vocab).limit(n)
 
 
-def cooccurrence(terms: DataFrame) -> DataFrame:
+def pair_units(lists: DataFrame, block: int) -> DataFrame:
+    """``n, left, right, same``: sorted term lists as pairs of blocks, of which each gives at most ``block ** 2`` pairs of terms.
+
+    A list of up to ``block`` terms is one unit and stays where it is. The units of
+    longer ones, two blocks each, are dealt out evenly, so one long text is shared
+    by many tasks.
+    """
+    short = lists.filter(F.size("terms") <= block).select("n", F.col("terms").alias("left"), F.col("terms").alias("right"), F.lit(True).alias("same"))
+    starts = F.sequence(F.lit(1), F.size("terms"), F.lit(block))
+    long = lists.filter(F.size("terms") > block).select("n", F.transform(starts, lambda at: F.slice("terms", at, F.lit(block))).alias("blocks"))
+    placed = long.select("n", "blocks", F.posexplode("blocks").alias("i", "left"))
+    units = placed.select("n", "left", F.posexplode(F.slice("blocks", F.col("i") + 1, F.size("blocks") - F.col("i"))).alias("k", "right"))
+    dealt = units.repartition(shuffle_width(lists.sparkSession))
+    return short.unionByName(dealt.select("n", "left", "right", (F.col("k") == 0).alias("same")))
+
+
+def cooccurrence(terms: DataFrame, *, block: int = BLOCK_TERMS) -> DataFrame:
     """``a, b, weight`` in both directions: the product of term counts summed over documents.
 
     Documents with the same term counts are merged first. Each remaining term
-    list gives its pairs row by row inside its task, with no self-join, and the
-    sums are combined before the one shuffle by pair.
+    list gives its pairs block by block, with no self-join, and the sums are
+    combined before the one shuffle by pair.
     """
     key = [name for name in terms.columns if name not in ("term", "tf")]
     copies = F.first("copies") if "copies" in terms.columns else F.lit(1)
@@ -122,9 +142,10 @@ def cooccurrence(terms: DataFrame) -> DataFrame:
         .groupBy("terms")
         .agg(F.sum("n").alias("n"))
     )
-    firsts = lists.select("terms", "n", F.posexplode("terms").alias("at", "a"))
-    later = F.slice("terms", F.col("at") + 2, F.greatest(F.size("terms") - F.col("at") - 1, F.lit(0)))
-    pairs = firsts.select("a", "n", F.explode(later).alias("b"))
+    firsts = pair_units(lists, block).select("n", "right", "same", F.posexplode("left").alias("at", "a"))
+    # Within a block each term meets the later ones, in another one all.
+    met = F.when(F.col("same"), F.slice("right", F.col("at") + 2, F.greatest(F.size("right") - F.col("at") - 1, F.lit(0)))).otherwise(F.col("right"))
+    pairs = firsts.select("a", "n", F.explode(met).alias("b"))
     once = pairs.groupBy(F.col("a.term").alias("a"), F.col("b.term").alias("b")).agg(
         F.sum(F.col("a.tf") * F.col("b.tf") * F.col("n")).alias("weight")
     )

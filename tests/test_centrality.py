@@ -2,6 +2,9 @@ import heapq
 import math
 import random
 
+import numpy as np
+import pytest
+
 from driftline.operators import centrality
 
 
@@ -85,3 +88,33 @@ def test_small_graphs(spark):
 def test_order(spark):
     vertices, edges, _ = frames(spark, ["a", "b", "c", "d"], [("b", "a", 1), ("b", "c", 2), ("b", "d", 2)])
     assert [r.token for r in centrality.word_centrality(vertices, edges).collect()] == ["b", "c", "d", "a"]
+
+
+def random_graph(rng, n, weights, share):
+    nodes = [f"n{i}" for i in range(n)]
+    return nodes, [(a, b, rng.choice(weights)) for i, a in enumerate(nodes) for b in nodes[i + 1 :] if rng.random() < share]
+
+
+def test_shares_of_arrays():
+    rng = random.Random(11)
+    for n, weights, share in [(1, [1], 0), (2, [5], 1), (30, [1], 0.2), (30, [1, 2, 3], 0.5), (25, [1, 7, 400, 10**9], 0.2), (40, [1, 1, 2, 50], 0.05)]:
+        nodes, pairs = random_graph(rng, n, weights, share)
+        both = pairs + [(b, a, w) for a, b, w in pairs]
+        ids = {v: i for i, v in enumerate(nodes)}
+        columns = [np.array([ids[a] for a, _, _ in both], int), np.array([ids[b] for _, b, _ in both], int), np.array([w for _, _, w in both], int)]
+        graph = centrality.Arrays(n, *columns)
+        found = sum((graph.shares(source) for source in range(n)), np.zeros(n))
+        expected = brandes(nodes, both)
+        for v in nodes:
+            assert math.isclose(found[ids[v]] / max(1, (n - 1) * (n - 2)), expected[v], abs_tol=1e-9)
+
+
+@pytest.mark.parametrize("working_rows", [1, 300, 10**9])
+def test_slices_of_sources_add_up(spark, working_rows):
+    """One source at a time, a few, and all."""
+    rng = random.Random(5)
+    nodes, pairs = random_graph(rng, 7, [1, 2, 3], 0.5)
+    vertices, edges, both = frames(spark, [*nodes, "alone"], pairs)
+    found = {r.token: r.betweenness_centrality for r in centrality.betweenness(vertices, edges, max_edges=0, working_rows=working_rows).collect()}
+    expected = brandes([*nodes, "alone"], both)
+    assert set(found) == set(expected) and all(math.isclose(found[v], expected[v], abs_tol=1e-9) for v in expected)

@@ -1,8 +1,12 @@
+import random
+
+import pytest
 import math
 import re
 from collections import Counter
 from itertools import combinations
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -133,3 +137,27 @@ def test_readability(spark):
     assert rows(textstats.gulpease(lengths)) == [("a", 1, 89 + (300 * 2 - 10 * 9) / 3), ("a", 2, None)]
     assert rows(textstats.sentence_length(lengths), "words_per_sentence") == [(1.5,), (None,)]
     assert rows(textstats.letters_per_word(lengths), "letters_per_word") == [(3.0,), (None,)]
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 64, 1000])
+def test_blocks_of_terms_give_all_pairs(spark, block):
+    rng = random.Random(block)
+    counts = {d: {f"t{rng.randrange(40):02}": rng.randint(1, 3) for _ in range(rng.choice([0, 1, 5, 30]))} for d in range(12)}
+    counts[12] = counts[11]
+    terms = spark.createDataFrame([(d, t, n) for d, found in counts.items() for t, n in found.items()], "doc_id long, term string, tf long")
+    expected = {}
+    for found in counts.values():
+        for a in found:
+            for b in found:
+                if a != b:
+                    expected[a, b] = expected.get((a, b), 0) + found[a] * found[b]
+    got = vocabulary.cooccurrence(terms, block=block).collect()
+    assert {(r.a, r.b): r.weight for r in got} == expected and len(got) == len(expected)
+
+
+def test_a_long_text_is_shared_by_all_tasks(spark):
+    lists = spark.range(1).select(F.lit(1).alias("n"), F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.struct(i.cast("string").alias("term"), F.lit(1).alias("tf"))).alias("terms"))
+    units = vocabulary.pair_units(lists, 256)
+    work = F.when(F.col("same"), F.size("left") * (F.size("left") - 1) / 2).otherwise(F.size("left") * F.size("right"))
+    sizes = sorted(r.pairs for r in units.groupBy(F.spark_partition_id()).agg(F.sum(work).alias("pairs")).collect())
+    assert sum(sizes) == 20_000 * 19_999 / 2 and len(sizes) == 4 and sizes[-1] < 1.5 * sizes[len(sizes) // 2]
