@@ -9,6 +9,7 @@ from driftline.functions.clean import channel_name, forward_source, strip
 from driftline.operators.joins import lookup_join
 from driftline.operators.ranking import top_n_per_key, top_n_wide
 from driftline.schemas import FORWARD_HEADER, MESSAGES, require_columns
+from driftline.session import stage
 
 DEFAULT_LIMIT = 100
 
@@ -49,19 +50,56 @@ def messages_in_range(messages: DataFrame, start=None, end=None, *, column: str
     return messages.filter(in_date_range(column, start, end, messages.schema[column].dataType.simpleString()))
 
 
-def match_keywords(posts: DataFrame, keywords=("",)) -> DataFrame:
+# From so many keywords on, a post meets only those that it may hold.
+MANY_KEYWORDS = 64
+
+
+def _trigrams(text: Column) -> Column:
+    """Different runs of three characters; none in shorter texts."""
+    starts = F.sequence(F.lit(1), F.length(text) - 2)
+    return F.when(F.length(text) > 2, F.array_distinct(F.transform(starts, lambda at: F.substr(text, at, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+
+
+def keyword_keys(posts: DataFrame, words: DataFrame) -> DataFrame:
+    """``words`` with ``key``, the trigram of each keyword that fewest texts hold, the first of equals by its letters.
+
+    ``posts`` has ``_text`` and ``words`` has ``word``, both in lower case. Texts
+    are read once and only trigrams of keywords are counted.
+    """
+    of_words = stage(words.select("*", F.explode(_trigrams(F.col("word"))).alias("key")))
+    wanted = of_words.select("key").distinct()
+    held = posts.select(F.explode(_trigrams(F.col("_text"))).alias("key")).join(F.broadcast(wanted), "key", "left_semi")
+    counts = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.coalesce("n", F.lit(0)), "key")
+    return of_words.join(counts, "key", "left").groupBy(*words.columns).agg(F.min(order).alias("least")).select(*words.columns, "least.key")
+
+
+def match_keywords(posts: DataFrame, keywords=("",), *, many: int = MANY_KEYWORDS) -> DataFrame:
     """One row per post and keyword in its text, regardless of case; '' matches every post.
 
-    The keyword list is a literal of the plan: each post is read once, whatever
-    the number of keywords.
+    Each post is read where it lies, without a shuffle. A few keywords are literals of the plan. Of
+    ``many`` or more, a post is compared only with those whose rarest trigram it
+    holds; the caller's list, keyed by it, is sent to all tasks. Keywords of less
+    than three letters stay literals.
     """
     lowered = posts.withColumn("_text", F.lower(F.coalesce("text", F.lit(""))))
+    numbered = list(enumerate(keywords))
+    literal = numbered if len(numbered) < many else [(number, word) for number, word in numbered if len(word) < 3]
     hits = [
         F.when(F.contains("_text", F.lower(F.lit(word))), F.struct(F.lit(number).alias("keyword_no"), F.lit(word).alias("keyword")))
-        for number, word in enumerate(keywords)
+        for number, word in literal
     ]
-    matched = lowered.withColumn("_hit", F.explode(F.array_compact(F.array(*hits))))
-    return matched.select(*posts.columns, "_hit.keyword_no", "_hit.keyword")
+    names = [*posts.columns, "_hit.keyword_no", "_hit.keyword"]
+    matched = lowered.withColumn("_hit", F.explode(F.array_compact(F.array(*hits)))).select(*names) if hits else None
+    if len(literal) < len(numbered):
+        spark, left = posts.sparkSession, [pair for pair in numbered if len(pair[1]) >= 3]
+        words = spark.createDataFrame(left, "keyword_no int, keyword string").withColumn("word", F.lower("keyword"))
+        keyed = stage(keyword_keys(lowered, words)).withColumnRenamed("word", "_word").withColumnRenamed("key", "_key")
+        hit = F.struct("keyword_no", "keyword").alias("_hit")
+        met = lowered.withColumn("_key", F.explode(_trigrams(F.col("_text")))).join(F.broadcast(keyed.select("_key", "_word", hit)), "_key")
+        met = met.filter(F.contains("_text", "_word")).select(*names)
+        matched = met if matched is None else matched.unionByName(met)
+    return matched
 
 
 def keyword_posts(posts: DataFrame, keywords=("",), limit: int | None = DEFAULT_LIMIT) -> DataFrame:

@@ -12,6 +12,7 @@ from driftline.operators.joins import lookup_join
 from driftline.operators.messages import latest_posts
 from driftline.schemas import CHANNELS
 from driftline.session import stage
+from driftline.sinks.files import once
 
 DEFAULT_MAX_DEPTH = 3
 DEFAULT_POSTS = 100
@@ -166,6 +167,54 @@ def snowball(
     return _sample(start, start.limit(0), forwards, channels, unresolved, refs, 0, max_depth)
 
 
+def snowball_logged(
+    posts: DataFrame,
+    channels: DataFrame,
+    seeds: DataFrame,
+    log: str,
+    *,
+    max_depth: int = DEFAULT_MAX_DEPTH,
+    posts_per_channel: int = DEFAULT_POSTS,
+    last_level: int | None = None,
+) -> Sample:
+    """``snowball`` that keeps every level in a folder ``log`` as it is done, and goes on there when called again.
+
+    The forwards are taken from the posts once. A level writes its channels, their
+    relations and the channels found for the next one, each table under its number;
+    tables that are whole are read, not worked again, so no channel is scanned
+    twice. Call it again with the same posts, seeds and bounds. ``last_level``
+    ends the run early, with what is there by then.
+    """
+    spark = posts.sparkSession
+    known = channels.select("channel_id")
+
+    def kept(name: str, rows) -> DataFrame:
+        return once(spark, f"{log}/{name}", rows)
+
+    refs = seeds.select(channel_ref(F.col("ref")).alias("ref")).filter(F.col("ref") != "").distinct()
+    resolved = kept("seeds", lambda: resolve(refs, channels))
+    forwards = kept("forwards", lambda: newest_forwards(posts, posts_per_channel))
+    start = resolved.filter(F.col("channel_id").isNotNull()).select("channel_id").distinct()
+    level = kept("reached/level=0", lambda: start)
+    found = kept("channels/unresolved", lambda: unresolved_records(resolved.filter(F.col("channel_id").isNull())))
+    relations, seen, depth = None, level, 0
+    while not level.isEmpty():
+        at = level.select("channel_id", F.lit(depth).alias("depth"))
+        flagged = at.withColumn("is_seed", F.lit(int(depth == 0)))
+        found = found.unionByName(kept(f"channels/level={depth}", lambda: channel_records(flagged, channels)))
+        if depth > max_depth or (last_level is not None and depth > last_level):
+            break
+        rows = kept(f"relations/level={depth}", lambda: relation_rows(forwards, at, channels))
+        relations = rows if relations is None else relations.unionByName(rows)
+        origins = forwards.join(level, "channel_id", "left_semi").select(F.col("from_id").alias("channel_id")).distinct()
+        fresh = origins.join(known, "channel_id", "left_semi").join(seen, "channel_id", "left_anti")
+        level, depth = kept(f"reached/level={depth + 1}", lambda: fresh), depth + 1
+        seen = seen.unionByName(level)
+    if relations is None:
+        relations = relation_rows(forwards, level.select("channel_id", F.lit(0).alias("depth")), channels)
+    return Sample(found, relations, resolved.select("ref").distinct())
+
+
 def resume(
     earlier: DataFrame,
     posts: DataFrame,

@@ -21,9 +21,13 @@ def run(
     max_depth: int = snowball.DEFAULT_MAX_DEPTH,
     posts_per_channel: int = snowball.DEFAULT_POSTS,
     run_id: str | None = None,
+    log: str | None = None,
 ) -> DataFrame:
     """Sample from ``seeds``, or without any go on from the channel files of earlier runs.
 
+    With a folder ``log``, levels of a run from seeds are kept there as they are
+    done; a run that failed goes on behind its last one when started again.
+
     Writes one run of ``snowball_channels`` and ``snowball_relations`` below
     ``output`` and returns the summary.
     """
@@ -33,7 +37,7 @@ def run(
     options = {"max_depth": max_depth, "posts_per_channel": posts_per_channel}
     if seeds:
         refs = spark.range(1).select(F.explode(F.array(*[F.lit(seed) for seed in seeds])).alias("ref"))
-        sample = snowball.snowball(posts, channels, refs, **options)
+        sample = snowball.snowball_logged(posts, channels, refs, log, **options) if log else snowball.snowball(posts, channels, refs, **options)
     else:
         sample = snowball.resume(read_channels(spark, f"{output}/snowball_channels"), posts, channels, **options)
     found = snowball.Sample(stage(sample.channels), stage(sample.relations), sample.seeds)

@@ -15,6 +15,7 @@ from driftline.functions.text import ngrams, tokens
 from driftline.operators import centrality, graph, messages, names, snowball, textstats, topics, vocabulary
 from driftline.session import stage, working_path
 from driftline.sinks.files import write_appended, write_csv, write_json
+from driftline.sinks.tiles import write_tiles
 from driftline.sources import fixtures, tables
 from driftline.schemas import MESSAGES
 from driftline.streaming import collection
@@ -192,6 +193,13 @@ def keyword_posts(spark, sf_dir):
     return found.select("channel_username", "keyword", "message_id", "rank")
 
 
+@query
+def keyword_counts(spark, sf_dir):
+    """Posts that hold each of some hundred keywords, the stop words of four languages."""
+    found = messages.match_keywords(fixtures.messages(spark, sf_dir), sorted(stop_words(TOPIC_LANGUAGES)))
+    return found.groupBy("keyword").agg(F.count(F.lit(1)).alias("posts"))
+
+
 @query
 def messages_in_range(spark, sf_dir):
     kept = messages.messages_in_range(fixtures.table(spark, sf_dir, "lineitem"), *SHIP_RANGE, column="l_shipdate")
@@ -283,6 +291,17 @@ def snowball_resume(spark, sf_dir):
     return _compared(more.channels)
 
 
+@query
+def snowball_restart(spark, sf_dir):
+    """A run that ends after level 0 and is started again, from no posts but those it has kept."""
+    log = working_path(spark, "snowball-log")
+    posts, channels = fixtures.posts(spark, sf_dir), fixtures.channels(spark, sf_dir)
+    options = {"max_depth": MAX_DEPTH, "posts_per_channel": POSTS_PER_CHANNEL}
+    snowball.snowball_logged(posts, channels, _seeds(spark), log, last_level=0, **options)
+    found = snowball.snowball_logged(posts.limit(0), channels, _seeds(spark), log, **options).relations
+    return found.withColumn("target_message_date_utc", clean.iso_utc(F.col("target_message_date_utc")))
+
+
 # --- stored tables -----------------------------------------------------------
 
 
@@ -318,6 +337,21 @@ def csv_roundtrip(spark, sf_dir):
     return read.withColumn("date", F.when(F.col("date").isNotNull(), clean.iso_utc(F.col("date"))))
 
 
+@query
+def relation_matrix_tiles(spark, sf_dir):
+    """All cells of the matrix, zeros included, written in tiles of sixteen targets and read back."""
+    edges = graph.forward_edges(fixtures.relations(spark, sf_dir), include_unresolved=True)
+    return tables.read_tiles(spark, write_tiles(edges, working_path(spark, "tiles"), width=16))
+
+
+@query
+def topic_corpus_scan(spark, sf_dir):
+    """The corpus of messages that were stored as one file, with line breaks in cells."""
+    stored = fixtures.messages(spark, sf_dir).select("channel_username", "message_id", "date", "text")
+    path = write_csv(stored.coalesce(1), working_path(spark, "stored-messages"))
+    return topics.topic_corpus(tables.read_messages(spark, path)).withColumn("date", clean.iso_utc(F.col("date")))
+
+
 @query
 def latest_snapshot(spark, sf_dir):
     family = working_path(spark, "snapshots")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CSV_OPTIONS = {
@@ -43,3 +44,16 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str, *, run_id: str |
     write_csv(nodes, f"{path}/nodes", run_id=run_id)
     write_csv(edges, f"{path}/edges", run_id=run_id)
     return path
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def once(spark: SparkSession, path: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``, written from ``rows`` unless an earlier run has done so; half of one is written anew."""
+    if not finished(spark, path):
+        rows().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -378,6 +378,11 @@ def build() -> dict[str, str]:
     sql["forward_edges"] = with_ctes("SELECT * FROM edges", *graph_ctes())
     sql["forward_edges_all"] = with_ctes("SELECT * FROM edges", *graph_ctes(unresolved=True))
     sql["relation_matrix_long"] = sql["forward_edges_all"]
+    sql["relation_matrix_tiles"] = with_ctes(
+        "SELECT source, target, coalesce(weight, 0)::BIGINT AS weight FROM (SELECT DISTINCT source FROM edges) CROSS JOIN (SELECT DISTINCT target FROM edges) "
+        "LEFT JOIN edges USING (source, target)",
+        *graph_ctes(unresolved=True),
+    )
     sql["edge_labels"] = with_ctes(
         f"SELECT channel_to_id, target_message_id, {iso('target_message_date_utc')} AS target_message_date_utc, "
         "source, target, unresolved FROM labelled",
@@ -456,6 +461,11 @@ WHERE k = 1""",
         ("posts", POSTS),
         ("newest", NEWEST),
     )
+    sql["keyword_counts"] = with_ctes(
+        f"SELECT keyword, count(*)::BIGINT AS posts FROM messages JOIN (SELECT unnest({_word_list(TOPIC_LANGUAGES)}) AS keyword) "
+        "ON contains(lower(coalesce(text, '')), lower(keyword)) GROUP BY keyword",
+        ("messages", MESSAGES),
+    )
     sql["keyword_posts"] = with_ctes(
         "SELECT channel_username, keyword, message_id, rank FROM hits WHERE rank <= 10", ("messages", MESSAGES), ("hits", HITS)
     )
@@ -491,6 +501,7 @@ WHERE k = 1""",
         recursive=True,
     )
     sql["snowball_relations"] = with_ctes(SNOWBALL_RELATIONS, *snowball_ctes(), recursive=True)
+    sql["snowball_restart"] = sql["snowball_relations"]
     sql["snowball_summary"] = with_ctes(
         "SELECT total_channels, seeds, total_channels - seeds AS discovered, relations FROM (SELECT "
         "(SELECT count(*) FROM reached) + (SELECT count(*) FROM resolved WHERE channel_id IS NULL) AS total_channels, "
@@ -607,6 +618,7 @@ UNION ALL SELECT username, channel_id % 5 FROM channels WHERE channel_id % 2 = 0
     # topics
     corpus = corpus_ctes()
     sql["topic_corpus"] = with_ctes(f"SELECT doc_id, channel_username, message_id, {iso('date')} AS date, text FROM corpus", *corpus[:2])
+    sql["topic_corpus_scan"] = sql["topic_corpus"]
     weighted = (
         "SELECT doc_id, term, round(tf * (ln((1 + (SELECT count(*) FROM corpus)) / (1 + df)::DOUBLE) + 1), 6) AS weight "
         "FROM terms JOIN vocab USING (term)"

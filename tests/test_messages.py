@@ -1,5 +1,7 @@
+import random
 from datetime import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -103,3 +105,22 @@ def test_global_rank(spark):
 def test_odd_channel_names(spark):
     given = spark.createDataFrame([("none",), ("@",), (" ",), (None,), ("@x",)], "username string")
     assert rows(messages.channel_list(given)) == [("none",), ("x",)]
+
+
+@pytest.mark.parametrize("many", [1, 10**6])
+def test_many_keywords_find_what_each_one_finds(spark, many):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abAB ßÉé漢😀") for _ in range(rng.choice([0, 1, 2, 3, 8, 40]))) for _ in range(80)] + [None, ""]
+    words = ["", "a", "É", "aB", "ab ", "BA", "漢a", "abab", "not there", "aaa", "a b", "😀", "é漢ß", "abab", *(t[2:7] for t in texts if t and len(t) > 7)]
+    df = posts(spark, *[("c", i, 1, t) for i, t in enumerate(texts)])
+    found = messages.match_keywords(df, words, many=many)
+    assert found.columns == [*df.columns, "keyword_no", "keyword"]
+    expected = [(i, n) for i, t in enumerate(texts) for n, w in enumerate(words) if w.lower() in (t or "").lower()]
+    assert sorted((r.message_id, r.keyword_no) for r in found.collect()) == sorted(expected)
+    assert all(r.keyword == words[r.keyword_no] for r in found.collect())
+
+
+def test_keywords_are_keyed_by_what_is_rare(spark):
+    df = posts(spark, *[("c", i, 1, "the same words " + ("zebra" if i == 5 else "")) for i in range(20)]).withColumn("_text", F.col("text"))
+    words = spark.createDataFrame([(0, "the zebra"), (1, "same"), (2, "quux")], "keyword_no int, word string")
+    assert {r.word: r.key for r in messages.keyword_keys(df, words).collect()} == {"the zebra": "e z", "same": "ame", "quux": "quu"}

@@ -1,9 +1,11 @@
 from datetime import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from driftline.operators import snowball
+from driftline.sinks import files
 
 CHANNEL = "channel_id long, username string, title string, participants_count long, broadcast int, megagroup int, verified int, scam int, fake int"
 POST = "channel_id long, message_id long, date timestamp, is_forwarded boolean, from_id long, from_name string"
@@ -73,3 +75,54 @@ def test_only_the_newest_posts_count(spark):
     kept = snowball.newest_forwards(posts, 1)
     assert rows(kept, "channel_id", "message_id") == [(2, 20), (3, 31), (4, 41)]
     assert kept.filter(F.col("channel_id") == 1).count() == 0
+
+
+def compared(found):
+    return rows(found.channels.drop("date_collected_utc")), rows(found.relations), rows(found.seeds)
+
+
+def test_a_run_stopped_at_any_level_goes_on(spark, tmp_path):
+    posts, channels = world(spark)
+    seeds = spark.createDataFrame([("@a",), ("ghost",)], "ref string")
+    options = {"max_depth": 2, "posts_per_channel": 2}
+    expected = compared(snowball.snowball(posts, channels, seeds, **options))
+    assert compared(snowball.snowball_logged(posts, channels, seeds, str(tmp_path / "whole"), **options)) == expected
+    for last in (0, 1, 2, 3):
+        log = str(tmp_path / f"{last}")
+        part = snowball.snowball_logged(posts, channels, seeds, log, last_level=last, **options)
+        assert part.relations.count() <= len(expected[1])
+        stamps = {r.channel_id: r.date_collected_utc for r in part.channels.collect()}
+        # No posts: what goes on can only come from the levels that were kept.
+        found = snowball.snowball_logged(posts.limit(0), channels, seeds, log, **options)
+        assert compared(found) == expected
+        assert stamps.items() <= {r.channel_id: r.date_collected_utc for r in found.channels.collect()}.items()
+
+
+@pytest.mark.parametrize("broken", range(0, 11, 2))
+def test_a_run_that_fails_at_any_table_goes_on(spark, tmp_path, monkeypatch, broken):
+    posts, channels = world(spark)
+    seeds = spark.createDataFrame([("a",)], "ref string")
+    options = {"max_depth": 2, "posts_per_channel": 2}
+    written = []
+
+    def fails(session, path, rows_of):
+        if len(written) == broken:
+            # Half a table: files, but no mark of their end.
+            rows_of().write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+            raise RuntimeError("lost")
+        written.append(path)
+        return files.once(session, path, rows_of)
+
+    monkeypatch.setattr(snowball, "once", fails)
+    with pytest.raises(RuntimeError):
+        snowball.snowball_logged(posts, channels, seeds, str(tmp_path), **options)
+    monkeypatch.setattr(snowball, "once", files.once)
+    found = snowball.snowball_logged(posts, channels, seeds, str(tmp_path), **options)
+    assert compared(found) == compared(snowball.snowball(posts, channels, seeds, **options))
+
+
+def test_no_seed_is_known(spark, tmp_path):
+    posts, channels = world(spark)
+    seeds = spark.createDataFrame([("ghost",)], "ref string")
+    found = snowball.snowball_logged(posts, channels, seeds, str(tmp_path))
+    assert compared(found) == compared(snowball.snowball(posts, channels, seeds))

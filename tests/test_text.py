@@ -1,7 +1,5 @@
-import random
-
-import pytest
 import math
+import random
 import re
 from collections import Counter
 from itertools import combinations
