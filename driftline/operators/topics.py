@@ -25,6 +25,7 @@ SEED = 42
 # The factorisation ends when a round gains no more than this share, at the latest after so many rounds.
 TOLERANCE = 1e-3
 ROUNDS = 60
+LOOK_EVERY = 5
 
 EPSILON = 1e-12
 
@@ -126,11 +127,15 @@ def time_bins(corpus: DataFrame, *, bins: int = BINS) -> DataFrame:
 
 @dataclass(frozen=True)
 class Factors:
-    """Non-negative factors: doc_topics (doc_id, w) and topic_terms (term, h), arrays of length ``topics``."""
+    """Non-negative factors: doc_topics (doc_id, w) and topic_terms (term, h), arrays of length ``topics``.
+
+    ``converged`` says whether the error stood still before the rounds were used up.
+    """
 
     doc_topics: DataFrame
     topic_terms: DataFrame
     topics: int
+    converged: bool = True
 
 
 def _uniform(key: str, topics: int, seed: int) -> Column:
@@ -171,10 +176,11 @@ def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = ROUNDS, t
     """Non-negative factorisation of a sparse (doc_id, term, weight) table.
 
     Each round solves all document rows against fixed terms, then all terms
-    against fixed documents: two joins and two combinable sums over the cells. It
-    ends when a round lowers the squared error by no more than ``tolerance`` of
-    the squared weights, or after ``rounds``, which bounds the work where the error
-    falls slowly for long.
+    against fixed documents: two joins and two combinable sums over the cells. The
+    error is looked at every ``LOOK_EVERY`` rounds. It ends when these lowered the
+    squared error by no more than ``tolerance`` of the squared weights for each
+    round, or after ``rounds``, which bounds the work where the error falls slowly
+    for long; the result says which.
     The cells stay cached by document, so that the document half moves none of
     them while the terms can be broadcast. The inner updates are local to a row,
     and both factors are checkpointed.
@@ -186,28 +192,37 @@ def factorise(cells: DataFrame, *, topics: int = TOPICS, rounds: int = ROUNDS, t
     h = stage(cells.select("term").distinct().withColumn("h", _uniform("term", topics, seed)))
     few_terms = fits_broadcast(h)
 
-    def solved(factor, key, column, target, other):
-        rows = factor.join(target, key).withColumn("gram", other)
-        return stage(rows.select(key, _solve(F.col(column), F.col("target"), F.col("gram"), inner).alias(column)))
+    def products(factor, column) -> list[list[float]]:
+        """Inner products of a factor's columns: topics x topics numbers, which the driver puts into the next plan."""
+        return [[x or 0.0 for x in row] for row in factor.agg(_gram(column, topics)).first().gram]
+
+    def solved(target, factor, key, column, of_other):
+        gram = F.array(*[F.array(*map(F.lit, row)) for row in of_other])
+        return stage(factor.join(target, key).select(key, _solve(F.col(column), F.col("target"), gram, inner).alias(column)))
 
     square = cells.agg(F.sum(F.col("weight") ** 2)).first()[0] or 0.0
-    before = None
-    for _ in range(rounds):
+    of_terms, before, converged = products(h, "h"), None, False
+    for done in range(1, rounds + 1):
         target = _project(lookup_join(cells, h, "term", "inner", small=few_terms), ["doc_id"], "h", topics)
-        w = solved(w, "doc_id", "w", target, h.agg(_gram("h", topics)).scalar())
+        w = solved(target, w, "doc_id", "w", of_terms)
+        of_docs = products(w, "w")
         # A fixed width, as the updates cost far more per row than the few bytes of a row suggest.
-        target = stage(_project(cells.join(w, "doc_id"), ["term"], "w", topics).repartition(width, "term"))
-        h = solved(h, "term", "h", target, w.agg(_gram("w", topics)).scalar())
-        # |X - WH|^2 = |X|^2 - 2 <W'X, H> + <W'W, HH'>: the sums of this round hold all of it but HH'.
+        target = _project(cells.join(w, "doc_id"), ["term"], "w", topics).repartition(width, "term")
+        looked_at = done % LOOK_EVERY == 0
+        target = stage(target) if looked_at else target
+        h = solved(target, h, "term", "h", of_docs)
+        of_terms = products(h, "h")
+        if not looked_at:
+            continue
+        # |X - WH|^2 = |X|^2 - 2 <W'X, H> + <W'W, HH'>: the sums of this round hold all of it.
         cross = h.join(target, "term").agg(F.sum(_dot(F.col("h"), F.col("target")))).first()[0] or 0.0
-        of_docs, of_terms = w.agg(_gram("w", topics)).first().gram, h.agg(_gram("h", topics)).first().gram
-        product = sum(of_docs[i][j] * of_terms[i][j] for i in range(topics) for j in range(topics)) if cross else 0.0
-        error = square - 2 * cross + product
-        if before is not None and before - error <= tolerance * square:
+        error = square - 2 * cross + sum(of_docs[i][j] * of_terms[i][j] for i in range(topics) for j in range(topics))
+        if before is not None and before - error <= LOOK_EVERY * tolerance * square:
+            converged = True
             break
         before = error
     cells.unpersist()
-    return Factors(w, h, topics)
+    return Factors(w, h, topics, converged)
 
 
 def squared_error(cells: DataFrame, factors: Factors) -> float:

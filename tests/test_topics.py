@@ -103,3 +103,10 @@ def test_time_bins(spark):
 def test_top_per_topic(spark):
     terms = spark.createDataFrame([(0, "a", 1.0), (0, "b", 2.0), (0, "c", 2.0), (1, "a", 0.5)], "topic int, term string, weight double")
     assert rows(topics.top_terms(terms, 2), "topic", "term", "rank") == [(0, "b", 1), (0, "c", 2), (1, "a", 1)]
+
+
+def test_says_whether_it_converged(spark, cells):
+    assert not topics.factorise(cells, topics=2, rounds=4).converged
+    assert topics.factorise(cells, topics=2).converged
+    nothing = topics.factorise(cells.limit(0), topics=2)
+    assert nothing.converged and nothing.doc_topics.count() == nothing.topic_terms.count() == 0
