@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone", "iban")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret")
 BASE_KINDS = KINDS[:4]
 
 # The patterns find what the plain ones find, without going over a long run of
@@ -19,12 +19,14 @@ BASE_KINDS = KINDS[:4]
 #   card  [0-9]([\x20-]?[0-9])+ of 14 to 19 digits: a whole run, so shorter and longer ones are not proposed
 #   phone \+[0-9][\x20().0-9-]+[0-9]
 #   iban  the first four characters only, at every place that eleven more follow; the end is found by the checksum
+#   secret  a run of 20 to 200 letters, digits and signs of keys, both a letter and a digit among them
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9]|[0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",
+    "secret": r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])[A-Za-z0-9_+/=-]{20,200}+(?![A-Za-z0-9_+/=-])",
 }
 # What every match holds: texts without it are not searched.
 MARKS = {"email": "@", "phone": "+"}
@@ -34,14 +36,17 @@ ACCOUNT = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
 ACCOUNT_LEAST, ACCOUNT_MOST = 15, 34
 
 CONTEXT_CHARS = 40
-# Score of a confirmed span, and what words close ahead of it add or take away.
-SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
+# Score of a confirmed span, and what words close to it, on either side, add or take away.
+SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "secret": 0.4}
+# Spans of added kinds below it are dropped: a run of letters and digits counts where words say that it is a key.
+MIN_SCORE = 0.5
 CONTEXT = {
     "email": (r"mail|contact|write|reach|kontakt|correo|courriel", r"example|user"),
     "ip": (r"\bip\b|address|host|server|client|login|adresse", r"version|release|section|chapter|v\.?$"),
     "card": (r"card|visa|master|credit|debit|pay|karte|carte|tarjeta", r"order|serial|isbn|tracking"),
     "phone": (r"phone|tel|call|mobile|cell|fax|whatsapp|anruf|llam", r"order|serial|isbn|tracking"),
     "iban": (r"iban|account|bank|transfer|konto|compte|cuenta", r"serial|tracking"),
+    "secret": (r"key|token|secret|passw|pwd|auth|bearer|credential|schlüssel|clé|clave|contraseña", r"commit|sha|md5|hash|digest|checksum|uuid|http"),
 }
 CONTEXT_STEP = 0.2
 
@@ -99,9 +104,10 @@ def account_length(ahead: Column, run: Column) -> Column:
     return F.get(F.filter(lengths, ends), F.lit(0))
 
 
-def score(kind: str, before: Column) -> Column:
-    """Between 0 and 1: by the kind, and by words of the 40 characters ahead since the last match."""
-    near = F.lower(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS))
+def score(kind: str, before: Column, behind: Column) -> Column:
+    """Between 0 and 1: by the kind, and by words of the 40 characters on each side, up to the next match."""
+    near = F.concat(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS), F.lit(" "), F.substring(F.coalesce(behind, F.lit("")), 1, CONTEXT_CHARS))
+    near = F.lower(near)
     more, less = CONTEXT[kind]
     moved = F.lit(SCORES[kind]) + F.when(near.rlike(more), CONTEXT_STEP).otherwise(0.0) - F.when(near.rlike(less), CONTEXT_STEP).otherwise(0.0)
     return F.round(F.least(F.greatest(moved, F.lit(0.0)), F.lit(1.0)), 3)
@@ -113,11 +119,13 @@ _SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string,score:double>>"
 def _spans_of(kind: str, text: Column) -> Column:
     """Confirmed spans of one kind in order: the pieces between matches and the matches add up to their places."""
     pattern = PATTERNS[kind]
+    gaps = F.split(text, pattern, -1)
     pieces = F.zip_with(
-        F.split(text, pattern, -1),
+        gaps,
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda gap, found: F.struct(gap.alias("gap"), found.alias("found")),
     )
+    pieces = F.zip_with(pieces, F.slice(gaps, 2, F.size(gaps)), lambda piece, behind: piece.withField("behind", behind))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
 
     def step(state: Column, piece: Column) -> Column:
@@ -128,7 +136,7 @@ def _spans_of(kind: str, text: Column) -> Column:
             F.lit(KINDS.index(kind)).alias("kind_no"),
             end.alias("end"),
             F.lit(kind).alias("kind"),
-            score(kind, piece["gap"]).alias("score"),
+            score(kind, piece["gap"], piece["behind"]).alias("score"),
         )
         # The last piece has no match after it.
         good = piece["found"].isNotNull() & confirmed(kind, piece["found"])
@@ -160,7 +168,13 @@ def _accounts(text: Column) -> Column:
     return F.aggregate(known, F.array().cast(_SPAN), step)
 
 
-def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_score: float = 0.0) -> DataFrame:
+def spans_of(text: Column, min_score: float) -> Column:
+    """All confirmed spans, by start, then kind; those of the first four kinds whatever their score."""
+    added = F.filter(F.concat(_accounts(text), _spans_of("secret", text)), lambda span: span["score"] >= min_score)
+    return F.array_sort(F.concat(*[_spans_of(kind, text) for kind in BASE_KINDS], added))
+
+
+def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """``id, text, spans``: all confirmed spans of each text with kind and score, by start, then kind.
 
     Each row is treated for itself, so repeated rows and NULL ids give a row each. A
@@ -170,10 +184,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min
     looked at.
     """
     named = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    added = F.filter(_accounts(text), lambda span: span["score"] >= min_score)
-    spans = F.array_sort(F.concat(*[_spans_of(kind, text) for kind in BASE_KINDS], added))
-    return named.withColumn("spans", spans)
+    return named.withColumn("spans", spans_of(F.coalesce(F.col("text"), F.lit("")), min_score))
 
 
 def written(spans: Column) -> Column:
@@ -201,26 +212,26 @@ def masked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, replaced).otherwise(text)
 
 
-def mask(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars", min_score: float = 0.0) -> DataFrame:
+def mask(docs: DataFrame, *, text_col: str = "text", length_col: str = "n_chars", min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` with every span masked and, where there is such a column, the new number of characters.
 
     Texts without spans and NULL texts stay as they are, and so does their length.
+    Every row is masked for itself, repeated or without an id. The columns are
+    those of ``docs``, whatever their names.
     """
-    text = F.col(text_col)
-    filled = F.coalesce(text, F.lit(""))
-    added = F.filter(_accounts(filled), lambda span: span["score"] >= min_score)
-    spans = F.array_sort(F.concat(*[_spans_of(kind, filled) for kind in BASE_KINDS], added))
-    # Named apart from the columns: within one select a lambda would see the new text.
-    found = docs.withColumn("__spans", spans).withColumn("__masked", masked(text, F.col("__spans")))
-    columns = {text_col: F.col("__masked")}
+    # The row stands apart from what is worked out for it, so no name can clash.
+    row = docs.select(F.struct("*").alias("doc"))
+    text = F.col(f"doc.`{text_col}`")
+    found = row.withColumn("spans", spans_of(F.coalesce(text, F.lit("")), min_score)).withColumn("masked", masked(text, F.col("spans")))
+    columns = {text_col: F.col("masked")}
     if length_col in docs.columns:
-        length = F.length("__masked").cast(docs.schema[length_col].dataType)
-        columns[length_col] = F.when(F.size("__spans") > 0, length).otherwise(F.col(length_col))
-    return found.withColumns(columns).select(*docs.columns)
+        length = F.length("masked").cast(docs.schema[length_col].dataType)
+        columns[length_col] = F.when(F.size("spans") > 0, length).otherwise(F.col(f"doc.`{length_col}`"))
+    return found.select(*[columns.get(name, F.col(f"doc.`{name}`")).alias(name) for name in docs.columns])
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts, digest and list of the spans of each row."""
+    """Counts, digest, list and scores of the spans of each row."""
     base = F.filter("spans", lambda s: s["kind_no"] < len(BASE_KINDS))
 
     def count(kind: str) -> Column:
@@ -232,4 +243,7 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(written(base), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
         count("iban"),
+        count("secret"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )

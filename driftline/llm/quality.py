@@ -143,8 +143,7 @@ def judge(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_c
     total = F.aggregate("grams", F.lit(0.0), lambda so_far, bucket: so_far + F.get(table, bucket))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = features.withColumn("score", F.round(F.when(F.size("grams") > 0, total / F.size("grams")).otherwise(0.0), 9))
-    return scored.select(
-        id_col,
+    judged = F.struct(
         "n_words",
         "word_chars",
         "n_symbols",
@@ -154,3 +153,5 @@ def judge(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_c
         (~failed & (F.col("score") >= min_score)).alias("kept"),
         "score",
     )
+    # A filter on the verdict stays above the generator; below it, everything it rests on would be worked again for each word.
+    return scored.select(id_col, F.inline(F.array(judged)))
