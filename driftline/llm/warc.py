@@ -21,7 +21,7 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.llm.files import kept, open_file, written_once
@@ -100,6 +100,10 @@ def parse(raw: bytes) -> dict:
     }
 
 
+# Packed bytes of records that a task reads, and captures to a file of the index.
+READ_BYTES = 64 << 20
+INDEX_LINES = 1 << 20
+
 CAPTURES = "key string, page_id bigint, file string, offset bigint, length bigint"
 
 
@@ -155,7 +159,8 @@ def write_index(captures: DataFrame, folder: str, *, block_lines: int = BLOCK_LI
     """Write the index of captures; returns ``name, first, last`` of its files, a row per file.
 
     Captures are dealt out by ranges of key and page id, so a host or address with
-    any number of captures is cut among files.
+    any number of captures is cut among files. NULL addresses and ids have keys of
+    their own. Equal keys keep a line each. No captures, no files.
     """
 
     def with_sort_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +197,7 @@ def write_index(captures: DataFrame, folder: str, *, block_lines: int = BLOCK_LI
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([directory[0][0]]), pa.array([last])], ["name", "first", "last"])
 
     keyed = captures.mapInArrow(with_sort_key, "sort string, line string")
-    dealt = keyed.repartitionByRange("sort").sortWithinPartitions("sort", "line")
+    dealt = keyed.repartitionByRange(_tasks(captures, F.count(F.lit(1)), INDEX_LINES), "sort").sortWithinPartitions("sort", "line")
     return kept(dealt.mapInArrow(write, "name string, first string, last string"), "index-files")
 
 
@@ -261,8 +266,17 @@ def locate(keys: DataFrame, folder: str, files: DataFrame) -> DataFrame:
 RECORDS = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
 
 
+def _tasks(rows: DataFrame, amount: Column, each: int) -> int:
+    """So many tasks that each has about ``each`` of an amount summed over the rows, and as many as there are cores where that is less work for one."""
+    total = rows.agg(amount).first()[0] or 0
+    return max(1, -(-total // each), min(rows.sparkSession.sparkContext.defaultParallelism, -(-16 * total // each)))
+
+
 def read_records(places: DataFrame, folder: str) -> DataFrame:
-    """The records at ``file, offset, length``, each read by its own range of bytes, in the order of the file."""
+    """The records at ``file, offset, length``, each read by its own range of bytes, in the order of the file.
+
+    A place given twice is read twice. No places, no records.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
@@ -285,7 +299,10 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
             source.close()
 
     # A file is cut by offset as well, so that one large file is read by many tasks.
-    dealt = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # The list of places is short for what it stands for, so their number of tasks goes by the bytes to be read.
+    places = kept(places, "places")
+    tasks = _tasks(places, F.sum("length"), READ_BYTES)
+    dealt = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(read, RECORDS)
 
 
@@ -297,7 +314,7 @@ def lookup(spark: SparkSession, folder: str, files: DataFrame, urls: list[str])
 
 
 def page_keys(pages: DataFrame) -> DataFrame:
-    """Bounds of the one capture of each page by address and id."""
+    """Bounds of the captures of each page by address and id; equal for rows that have both in common, and for NULLs like any other."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
