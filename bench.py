@@ -30,6 +30,11 @@ HEADLINE = [
     "topic_corpus",
     "topic_keywords",
     "topic_terms",
+    "topics_over_time",
+    "lda_topics",
+    "keyword_counts",
+    "relation_matrix_tiles",
+    "message_word_centrality",
     "message_term_freq",
     "message_zipf",
     "gulpease",

@@ -13,6 +13,7 @@ from driftline.functions import clean
 from driftline.functions.stopwords import TOPIC_LANGUAGES, stop_words
 from driftline.functions.text import ngrams, tokens
 from driftline.operators import centrality, graph, messages, names, snowball, textstats, topics, vocabulary
+from driftline.plans import names as names_job
 from driftline.session import stage, working_path
 from driftline.sinks.files import write_appended, write_csv, write_json
 from driftline.sinks.tiles import write_tiles
@@ -507,6 +508,15 @@ def word_centrality(spark, sf_dir):
     return _rounded(centrality.word_centrality(nodes, pairs))
 
 
+@query
+def word_files(spark, sf_dir):
+    """Word frequencies as the job over channel files stores them, read back from its files."""
+    out = working_path(spark, "names-job")
+    write_csv(fixtures.channels(spark, sf_dir), f"{out}/channels", run_id="1")
+    names_job.run(spark, f"{out}/channels", out, run_id="1", min_df=NAME_MIN_DF, max_df=NAME_MAX_DF)
+    return tables.read_csv(spark, f"{out}/word_frequency/run_id=1", "word string, frequency long")
+
+
 @query
 def zipf_table(spark, sf_dir):
     return _rounded(_name_zipf(spark, sf_dir))

@@ -609,6 +609,7 @@ UNION ALL SELECT username, channel_id % 5 FROM channels WHERE channel_id % 2 = 0
     )
     sql["word_betweenness"] = with_ctes("SELECT token, round(b, 6) AS betweenness_centrality FROM between", *central)
     sql["word_centrality"] = with_ctes(CENTRALITY, *central)
+    sql["word_files"] = sql["word_frequency"]
     sql["zipf_table"] = with_ctes(
         "SELECT word, frequency, rank, round(ln(rank), 6) AS log_rank, round(ln(frequency), 6) AS log_frequency FROM ranked", *ranked
     )
