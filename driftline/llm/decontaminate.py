@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm.shingles import runs, word_hashes
+from driftline.llm.shingles import in_use, runs, word_hashes
 
 MIN_ITEM_WORDS = 5
 MIN_SCORE = 0.6
@@ -187,6 +187,7 @@ def find(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
     for sent in blocks(docs, items, item_col=item_col, item_text=item_text, min_score=min_score, block_items=block_items):
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            in_use()
             for batch in batches:
                 rows, out = [], []
                 for i, text in enumerate(batch.column("text")):
@@ -213,6 +214,7 @@ def without_items(docs: DataFrame, items: DataFrame, *, text_col: str = "text",
     for sent in blocks(docs, items, min_score=min_score, block_items=block_items):
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            in_use()
             for batch in batches:
                 keep = [not sent.value.matches(hashed_words(text.as_py()), min_score) for text in batch.column(text_col)]
                 yield batch.filter(pa.array(keep, pa.bool_()))

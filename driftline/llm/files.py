@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from driftline.session import working_path
 
@@ -42,8 +42,27 @@ def open_file(folder: str, name: str):
     return place.open_input_file(os.path.join(path, name))
 
 
+@contextmanager
+def set_to(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for the time being."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# What a table was shuffled through is of no use once the table is stored.
+STORING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once as Parquet in the shared folder; its lineage ends there."""
-    path = working_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` computed once as Parquet in the shared folder; its lineage and its shuffle files end there."""
+    spark = df.sparkSession
+    path = working_path(spark, name)
+    with set_to(spark, STORING):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

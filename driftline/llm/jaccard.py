@@ -31,8 +31,7 @@ from pyspark.sql import functions as F
 
 from driftline.llm.components import components
 from driftline.llm.files import kept
-from driftline.llm.shingles import shingle_set
-from driftline.llm.sieve import anti, semi
+from driftline.llm.shingles import in_use, shingle_set
 
 SLOT_BITS = 18
 CHUNK = 1024
@@ -47,6 +46,7 @@ def slot_counts(docs: DataFrame, length: int, slot_bits: int = SLOT_BITS) -> np.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         total = np.zeros(1 << slot_bits, np.int64)
         for batch in batches:
             for text in batch.column("text"):
@@ -78,17 +78,18 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def signed(docs: DataFrame, counts: np.ndarray, length: int, percent: int, slot_bits: int = SLOT_BITS) -> DataFrame:
-    """``doc_id, size, set_key, prefix_key, prefix, sketch`` of every document.
+    """``doc_id, sum, size, set_key, prefix_key, prefix, sketch`` of every document.
 
     Keys are 128-bit digests. A set too small to be similar to any other has no prefix.
     """
     slots = docs.sparkSession.sparkContext.broadcast(counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         often = slots.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 sizes, set_keys, prefix_keys, prefixes, sketches = [], [], [], [], []
                 for text in part.column("text"):
                     shingles = shingle_set(text.as_py(), length)
@@ -109,29 +110,33 @@ def signed(docs: DataFrame, counts: np.ndarray, length: int, percent: int, slot_
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("sum"),
                         pa.array(sizes, pa.int64()),
                         pa.array(set_keys, pa.binary()),
                         pa.array(prefix_keys, pa.binary()),
                         pa.array(prefixes, pa.list_(pa.int64())),
                         pa.array(sketches, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "size", "set_key", "prefix_key", "prefix", "sketch"],
+                    ["doc_id", "sum", "size", "set_key", "prefix_key", "prefix", "sketch"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id bigint, size bigint, set_key binary, prefix_key binary, prefix array<bigint>, sketch array<bigint>")
+    return docs.mapInArrow(sign, "doc_id bigint, sum bigint, size bigint, set_key binary, prefix_key binary, prefix array<bigint>, sketch array<bigint>")
 
 
 def whole_sets(docs: DataFrame, length: int) -> DataFrame:
-    """``node, shingles`` of documents."""
+    """``set_key, shingles`` of documents."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                sets = [shingle_set(text.as_py(), length).view(np.int64) for text in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                sets = [shingle_set(text.as_py(), length) for text in part.column("text")]
+                keys = [xxhash.xxh128_digest(shingles.tobytes()) for shingles in sets]
+                lists = pa.array([shingles.view(np.int64) for shingles in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), lists], ["set_key", "shingles"])
 
-    return docs.mapInArrow(read, "node bigint, shingles array<bigint>")
+    return docs.mapInArrow(read, "set_key binary, shingles array<bigint>")
 
 
 def similar(shared: Column, left: Column, right: Column, percent: int) -> Column:
@@ -199,33 +204,35 @@ def rest_pairs(hits: DataFrame, members: DataFrame, ties: DataFrame, percent: in
     )
 
 
-def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id`` of every row.
+def text_sum(id_col: str, text_col: str) -> Column:
+    """A hash of a row's id and text. It only finds rows again; what is found is compared by more."""
+    return F.xxhash64(F.col(id_col).cast("bigint"), F.col(text_col))
 
-    Two documents are linked if the intersection of their sets of ``length``-word
-    shingles is at least ``percent`` hundredths of the union; the component is the
-    least id reachable over links. Documents without words are linked with
-    nothing. An id names one text: rows with the same id are one document, given
-    again. Rows without an id have their own count and a NULL component. Ties do
-    not occur: equal sets are one set. Other columns are not looked at.
+
+def linked_rows(docs: DataFrame, *, length: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row, doc_id, sum, n_shingles, component`` of every row, stored.
+
+    ``row`` is a number of its own for each row, ``sum`` the ``text_sum`` of it.
+    ``component`` is equal for rows that are linked, whatever their ids: NULL ids,
+    equal ids with different texts and rows given twice are rows like any other.
+    Rows without words have components of their own.
     """
-    named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), text_sum(id_col, text_col).alias("sum"))
     counts = slot_counts(named, length)
-    rows = kept(signed(named, counts, length, percent), "signed")
-    known = rows.filter(F.col("doc_id").isNotNull())
+    # Numbers are stored with the rows, so they stay the same.
+    rows = kept(signed(named, counts, length, percent).withColumn("row", F.monotonically_increasing_id()), "signed")
 
-    # Equal sets are one node, named by the least document.
-    nodes = kept(known.filter("size > 0").groupBy("set_key").agg(F.min("doc_id").alias("node")), "nodes")
-    one_each = known.filter("prefix_key IS NOT NULL").join(nodes.select(F.col("node").alias("doc_id"), "set_key"), ["doc_id", "set_key"])
-    grouped = one_each.groupBy("size", "prefix_key").agg(F.min("doc_id").alias("grp"))
-    members = one_each.select(F.col("doc_id").alias("node"), "size", "prefix_key", "sketch").join(grouped, ["size", "prefix_key"])
-    members = kept(members.drop("prefix_key").dropDuplicates(["node"]), "members")
+    # Equal sets are one node, named by the first row.
+    nodes = kept(rows.filter("size > 0").groupBy("set_key").agg(F.min("row").alias("node")), "nodes")
+    one_each = rows.filter("prefix_key IS NOT NULL").join(nodes.select(F.col("node").alias("row"), "set_key"), ["row", "set_key"])
+    grouped = one_each.groupBy("size", "prefix_key").agg(F.min("row").alias("grp"))
+    members = one_each.select(F.col("row").alias("node"), "sum", "size", "prefix_key", "sketch").join(grouped, ["size", "prefix_key"])
+    members = kept(members.drop("prefix_key"), "members")
 
     # Postings of the groups, kept where a shingle has two or more.
-    first = members.filter("node = grp").select(F.col("node").alias("doc_id"))
-    later = known.select("doc_id").join(first.hint("merge"), "doc_id", "left_anti")
-    firsts = anti(known.filter("prefix IS NOT NULL").select("doc_id", "size", "prefix"), later, "doc_id")
-    posted = firsts.select(F.posexplode("prefix").alias("place", "shingle"), F.col("doc_id").alias("grp"), F.col("size").cast("int").alias("size"))
+    first = members.filter("node = grp").select(F.col("node").alias("row"))
+    firsts = rows.filter("prefix IS NOT NULL").select("row", "size", "prefix").join(first.hint("merge"), "row", "left_semi")
+    posted = firsts.select(F.posexplode("prefix").alias("place", "shingle"), F.col("row").alias("grp"), F.col("size").cast("int").alias("size"))
     shared = posted.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
     met = kept(posted.join(shared.hint("merge"), "shingle"), "met")
     least = met.groupBy("shingle").agg(F.min("grp").alias("centre"))
@@ -243,10 +250,12 @@ def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str =
     more = sketched(rest_pairs(hits, members, guesses.withColumnRenamed("component", "tie"), percent), members, percent)
     pairs = kept(centred.unionByName(more).distinct(), "pairs")
 
-    # Whole sets of what is in a pair.
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = semi(named, involved, "doc_id").dropDuplicates(["doc_id"])
-    sets = kept(whole_sets(texts, length), "sets")
+    # Whole sets of what is in a pair, from the texts that have its sum.
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(members.select("node", "sum"), "node")
+    involved = kept(involved.join(nodes, "node"), "involved")
+    texts = named.join(involved.select("sum").distinct().hint("merge"), "sum", "left_semi")
+    sets = whole_sets(texts, length).join(involved.select("node", "set_key").hint("merge"), "set_key").select("node", "shingles")
+    sets = kept(sets.dropDuplicates(["node"]), "sets")
     links = kept(verified(pairs, sets, percent), "links")
     held = components(links)
 
@@ -259,8 +268,50 @@ def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str =
         missed = sketched(rest_pairs(hits, members, real, percent, within=True), members, percent)
         held = components(links.unionByName(verified(missed, sets, percent)))
 
-    final = held.withColumnRenamed("component", "least")
-    of_set = nodes.join(final, "node", "left").select("set_key", F.coalesce("least", "node").alias("component_id"))
-    result = rows.select("doc_id", "size", "set_key").join(of_set, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return result.select(F.col("doc_id").alias(id_col), F.col("size").alias("n_shingles"), component.alias("component_id"))
+    of_set = nodes.join(held, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
+    result = rows.select("row", "doc_id", "sum", "size", "set_key").join(of_set, "set_key", "left")
+    component = F.coalesce("component", "row").alias("component")
+    return kept(result.select("row", "doc_id", "sum", F.col("size").alias("n_shingles"), component), "linked")
+
+
+def near_duplicates(docs: DataFrame, *, length: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, n_shingles, component_id`` of every row.
+
+    Two rows are linked if the intersection of their sets of ``length``-word
+    shingles is at least ``percent`` hundredths of the union; the component is the
+    least id reachable over links. Rows without words are linked with nothing.
+    Rows with one id are looked at each for itself, and so are rows without an id;
+    those have a NULL component. Ties do not occur: equal sets are one set. Other
+    columns are not looked at.
+    """
+    linked = linked_rows(docs, length=length, percent=percent, id_col=id_col, text_col=text_col)
+    # Where nothing is linked, the row's own id is the least.
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    named = linked.join(least, "component", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+    return named.select(F.col("doc_id").alias(id_col), "n_shingles", component)
+
+
+def one_of_each(docs: DataFrame, *, length: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, of linked ones just one: that with the least id, known ids first.
+
+    Rows are told apart by themselves, not by their ids: where two texts share an
+    id, one of them may go and the other stay. Of rows with the same id and text
+    any one stays. Rows without words are linked with nothing and all stay. The
+    columns are those of ``docs``, whatever their names.
+    """
+    linked = linked_rows(docs, length=length, percent=percent, id_col=id_col, text_col=text_col)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "sum", "row")
+    chosen = linked.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).filter("n > 1")
+    marked = linked.join(chosen.select("component", F.col("first.row").alias("first")), "component")
+    # Rows of one id and text stand or fall together, but for those given twice.
+    texts = marked.groupBy("doc_id", "sum").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("row") == F.col("first")).alias("stays"))
+    texts = kept(texts.filter("n > 1 OR NOT stays"), "copies")
+    left = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("bigint").alias("id"), text_sum(id_col, text_col).alias("sum")).alias("d")
+
+    def same(of: str) -> Column:
+        return (F.col("d.sum") == F.col(f"{of}.sum")) & F.col("d.id").eqNullSafe(F.col(f"{of}.doc_id"))
+
+    alone = left.join(texts.alias("t").hint("merge"), same("t"), "left_anti")
+    again = left.join(texts.filter("stays").alias("s").hint("merge"), same("s"), "left_semi").dropDuplicates(["id", "sum"])
+    return alone.select("doc.*").unionByName(again.select("doc.*"))

@@ -53,11 +53,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, *, capacity: i
         words = byte_words(tokenizer_path, ranks_path)
         key = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 found, lists = [], []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
-                    ids = np.concatenate([words.encode(text.as_py()), end]).astype("<u4", copy=False)
+                for doc, coded in zip(part.column("doc_id").to_pylist(), words.encode_all(part.column("text").to_pylist())):
+                    ids = np.concatenate([coded, end]).astype("<u4", copy=False)
                     bounds = cuts(len(ids), capacity)
                     for number, (a, b) in enumerate(zip(bounds, bounds[1:])):
                         found.append((key, doc, number, a, b - a, zlib.crc32(ids[a:b].tobytes())))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from driftline.llm import held
+
 MAX_WORDS = 150_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -22,6 +24,11 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+def in_use() -> None:
+    """Said by tasks that hash words: hashes are kept until tasks of another kind begin."""
+    held.only("words", _hashes.clear)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Runs of anything but space and the characters 9 to 13, as UTF-8."""
     return (text or "").encode("utf-8").split()

@@ -28,13 +28,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftline.llm.files import kept
-from driftline.llm.shingles import mix, runs, word_hashes, words_of
+from driftline.llm.shingles import in_use, mix, runs, word_hashes, words_of
 
 RUN_WORDS = 5
 BUCKET_STRINGS = 256
 LEVELS = 3
 
 
+def first_minima(values: np.ndarray, span: int) -> np.ndarray:
+    """Place of the least of every ``span`` consecutive values, the first of equal ones, from spans that double."""
+    place, width = np.arange(len(values), dtype=np.int32), 1
+    least = values
+    while width < span:
+        # Two spans of this width, side by side or overlapping, make up the next one.
+        step = min(width, span - width)
+        first = least[:-step] <= least[step:]
+        least, place = np.where(first, least[:-step], least[step:]), np.where(first, place[:-step], place[step:])
+        width += step
+    return place
+
+
 def packed_runs(hashes: np.ndarray, window: int, m: int, level: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First window, number of windows and minimiser of each packed string, from the hashes of a text's words.
 
@@ -45,12 +58,9 @@ def packed_runs(hashes: np.ndarray, window: int, m: int, level: int = 0) -> tupl
     grams = runs(hashes, m)
     if level:
         grams = mix(grams + np.uint64(level))
-    span = window - m + 1
-    views = np.lib.stride_tricks.sliding_window_view(grams, span)
-    # The first of equal hashes counts.
-    place = np.concatenate([views[i : i + 8192].argmin(axis=1) for i in range(0, len(views), 8192)]) + np.arange(len(views))
+    place = first_minima(grams, window - m + 1)
     begins = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    sizes = np.diff(np.concatenate([begins, [len(views)]]))
+    sizes = np.diff(begins, append=len(place))
     return begins, sizes, grams[place[begins]].view(np.int64)
 
 
@@ -128,6 +138,7 @@ def _by_parts(strings: DataFrame, window: int, m: int, bucket_strings: int, leve
     """Repeated windows of the strings of crowded buckets, from their parts under the hash of the next level."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -203,6 +214,7 @@ def dedup(docs: DataFrame, *, window: int, m: int = RUN_WORDS, bucket_strings: i
     named = named.withColumn("sum", F.xxhash64("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -263,8 +275,13 @@ def dedup(docs: DataFrame, *, window: int, m: int = RUN_WORDS, bucket_strings: i
                 totals, gone, texts = [], [], []
                 for text, found in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
                     words = words_of(text)
+                    if not found:
+                        totals.append(len(words))
+                        gone.append(0)
+                        texts.append(b" ".join(words).decode("utf-8"))
+                        continue
                     change = np.zeros(len(words) + 1, np.int64)
-                    for span in found or []:
+                    for span in found:
                         if span["repeated"] is None:
                             first, last = [span["start"]], [span["start"] + span["n"] + window - 1]
                             change[first] += 1

@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from driftline.llm import held
+
 MAX_WORDS = 200_000
 MAX_WORD_CHARS = 64
 ID_BYTES = 4
@@ -129,6 +131,7 @@ class WordEnds:
 
 # Letters, digits and signs whose classes no version of Unicode has changed.
 _PLAIN = re.compile("[\t\n\r!-~\xa1-\xac\xae-ɏ]+")
+_PLAIN_WORD = re.compile("[!-~\xa1-\xac\xae-ɏ]+")
 
 
 class ByteWords(dict):
@@ -148,6 +151,7 @@ class ByteWords(dict):
         # Fixed value: the pattern of the vocabulary.
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.ranks = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        (self.line,) = self.ranks.encode_ordinary("\n")
 
     def _ids(self, chunk: str) -> bytes:
         if len(chunk) <= 400 and "<|" not in chunk and _PLAIN.fullmatch(chunk.removeprefix(" ")):
@@ -175,6 +179,29 @@ class ByteWords(dict):
             packed = b"".join(map(self._ids, re.split(r"(?<=[^\s\x1c-\x1f\x85])(?= )", text)))
         return np.frombuffer(packed, dtype="<u4")
 
+    def learn(self, words: set[str]) -> None:
+        """Remember the ids of many plain words by one call; all others are encoded when they are met.
+
+        Between two words stands a line end, which is a token of its own in front
+        of a space and part of no plain word.
+        """
+        new = [word for word in words if word not in self and len(word) <= MAX_WORD_CHARS and "<|" not in word and _PLAIN_WORD.fullmatch(word)]
+        if len(self) + len(new) > MAX_WORDS:
+            self.clear()
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            ids = np.array(self.ranks.encode_ordinary(" " + "\n ".join(part) + "\n"), dtype="<u4")
+            ends = np.flatnonzero(ids == self.line)
+            packed, begin = ids.tobytes(), 0
+            for word, end in zip(part, (ends * 4).tolist(), strict=True):
+                self[word] = packed[begin:end]
+                begin = end + 4
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; new words of all of them are looked up together."""
+        self.learn(set().union(*(text.split(" ") for text in texts)))
+        return [self.encode(text) for text in texts]
+
     def chars_per_id(self):
         """Characters that begin in each id's bytes, and whether the bytes begin inside a character."""
         size = self.tokenizer.get_vocab_size()
@@ -193,10 +220,12 @@ _loaded: dict[tuple, object] = {}
 
 def word_ends(path: str) -> WordEnds:
     """One per worker process and file."""
+    in_use()
     return _loaded.get((path,)) or _keep((path,), WordEnds(path))
 
 
 def byte_words(path: str, ranks_path: str) -> ByteWords:
+    in_use()
     key = (path, ranks_path)
     return _loaded[key] if key in _loaded else _keep(key, ByteWords(path, ranks_path))
 
@@ -204,3 +233,8 @@ def byte_words(path: str, ranks_path: str) -> ByteWords:
 def _keep(key: tuple, made):
     _loaded[key] = made
     return made
+
+
+def in_use() -> None:
+    """Said by tasks that encode: encoders are kept until tasks of another kind begin."""
+    held.only("encoders", _loaded.clear)

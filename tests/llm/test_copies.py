@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from driftline.llm import components, jaccard, queries, substrings
@@ -136,3 +137,50 @@ def test_op7_on_documents(spark, sf):
     got = [(str(r[0]), *r[1:]) for r in substrings.dedup(spark.read.parquet(f"{sf}/documents.parquet"), window=35).collect()]
     assert sorted(got) == brute_removal(rows, 35)
     assert queries.op7_substrings(spark, sf).columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
+
+
+def test_one_row_of_each_component(spark):
+    """Shared ids, rows given twice and rows without an id are told apart by their texts."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a.replace("a30", "changed")
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, a), (5, near + " end"), (5, b), (None, c), (None, c), (7, None), (7, None), (8, ""), (8, "")]
+    docs = texts(spark, rows).withColumnRenamed("score", "sum").withColumnRenamed("size", "first").withColumnRenamed("ids", "row")
+    left = jaccard.one_of_each(docs, length=5, percent=80)
+    assert left.schema == docs.schema
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(1, a), (5, b), (None, c), (7, None), (7, None), (8, ""), (8, "")], key=str)
+
+
+def test_one_of_each_against_brute_force(spark):
+    rng = random.Random(21)
+    rows = edited(rng, 150)
+    rows = [(rng.choice([i, i, i // 2, None]), text) for i, text in rows]
+    rows += rng.choices(rows, k=40)
+    left = sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(texts(spark, rows), length=5, percent=80).collect()), key=str)
+    by_row = brute_components([(i, text) for i, (_, text) in enumerate(rows)], 5, 80)
+    groups = {}
+    for row, size, component in by_row:
+        groups.setdefault(component if size else (row, "empty"), []).append(rows[row])
+    # The least id stays; where texts share it, any one of those.
+    least = {g: min(((i is None, i or 0) for i, _ in members)) for g, members in groups.items()}
+    assert len(left) == len(groups)
+    allowed = list(sorted({(i, t) for i, t in members if (i is None, i or 0) == least[g]}, key=str) for g, members in groups.items())
+    for row in left:
+        assert any(row in group for group in allowed)
+    for group in groups.values():
+        assert any(row in group for row in left)
+
+
+def test_first_minima():
+    rng = np.random.default_rng(4)
+    for n, span, kinds in [(1, 1, 1), (5, 5, 2), (40, 2, 9), (40, 3, 3), (100, 31, 50), (64, 32, 5), (33, 33, 3), (300, 31, 1), (300, 31, 10**9)]:
+        values = rng.integers(0, kinds, n).astype(np.uint64)
+        views = np.lib.stride_tricks.sliding_window_view(values, span)
+        assert substrings.first_minima(values, span).tolist() == (views.argmin(axis=1) + np.arange(len(views))).tolist()
+
+
+def test_packed_runs_cover_every_window_once():
+    rng = np.random.default_rng(9)
+    for kinds, n in [(1, 5000), (2, 3000), (500, 4000), (9, 35), (9, 34), (9, 0)]:
+        hashes = rng.integers(0, kinds, n).astype(np.uint64)
+        begins, sizes, _ = substrings.packed_runs(hashes, 35, 5)
+        assert [i for begin, size in zip(begins, sizes) for i in range(begin, begin + size)] == list(range(max(0, n - 34)))

@@ -33,6 +33,21 @@ def byte():
     return ByteWords(BYTE, RANKS)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS) | st.text(st.characters(min_codepoint=0x20, max_codepoint=0x180), max_size=6), max_size=40), max_size=5))
+def test_words_looked_up_together(byte, parts):
+    texts = ["".join(part) for part in parts]
+    got = ByteWords.encode_all(byte, texts)
+    assert [ids.tolist() for ids in got] == [byte.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_memory_of_words_is_bounded(byte, monkeypatch):
+    monkeypatch.setattr("driftline.llm.words.MAX_WORDS", 50)
+    for at in range(20):
+        text = " ".join(f"word{at * 7 + k}" for k in range(30))
+        assert byte.encode_all([text])[0].tolist() == byte.tokenizer.encode(text, add_special_tokens=False).ids and len(byte) <= 80
+
+
 def tree(word, text, leaf):
     bounds = bpe.leaf_bounds(len(text), leaf)
     return bpe.concatenate_tree(word, text, [bpe.encode_leaf(word, text, a, b) for a, b in zip(bounds, bounds[1:])])
