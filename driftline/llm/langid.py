@@ -15,8 +15,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftline.llm import held
 from driftline.llm.files import kept
+from driftline.llm.held import only
 
 UNDETERMINED = "und"
 DIMENSIONS = 2048
@@ -204,7 +204,7 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text", keep: list
     named = docs.select(*[F.col(name).alias(f"c{i}") for i, name in enumerate(keep)], F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held.only("languages", lambda: None)
+        only("languages", lambda: None)
         for batch in batches:
             begin = 0
             texts = batch.column("text").to_pylist()
