@@ -669,11 +669,15 @@ def message_word_centrality(spark, sf_dir):
 
 @query
 def message_term_centrality(spark, sf_dir):
-    """Runs of up to three words in 1 to 90 % of the messages, the bounds of the channel names."""
+    """Runs of up to three words in 1 to 90 % of the messages, the bounds of the channel names, and in at least five of them.
+
+    Below 500 messages a hundredth is no bound: every run that is met twice would be a node.
+    """
     corpus = _corpus(spark, sf_dir)
     docs, options = corpus.select("doc_id", "text"), {"stop_words": stop_words()}
     n_docs = corpus.agg(F.count(F.lit(1))).scalar()
-    vocab = stage(vocabulary.vocabulary(docs, n_docs, min_df=NAME_MIN_DF, max_df=NAME_MAX_DF, **options))
+    vocab = vocabulary.vocabulary(docs, n_docs, min_df=NAME_MIN_DF, max_df=NAME_MAX_DF, **options)
+    vocab = stage(vocab.filter(F.col("df") >= topics.MIN_DF))
     pairs = vocabulary.cooccurrence(vocabulary.doc_terms(docs, ["doc_id"], within=vocab.select("term"), **options))
     return _rounded(centrality.word_centrality(vocab.select(F.col("term").alias("token")), stage(pairs)))
 
