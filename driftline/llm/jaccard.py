@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from driftline.llm.components import components
 from driftline.llm.files import kept
 from driftline.llm.shingles import in_use, shingle_set
+from driftline.operators.joins import lookup_join
 
 SLOT_BITS = 18
 CHUNK = 1024
@@ -209,6 +210,22 @@ def text_sum(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("bigint"), F.col(text_col))
 
 
+def numbered(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``row``, a number of its own for each: its id where no other row has it, else one that is no id.
+
+    Centres are the least numbers, and what came first is likeliest what the others were copied from.
+    """
+    twice = ids.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twice = kept(twice.select("doc_id", F.lit(True).alias("twice")), "ids-given-twice")
+    low, high = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
+    placed = lookup_join(rows, twice, "doc_id").withColumn("place", F.monotonically_increasing_id())
+    if high is None or (high >= 1 << 62 and low <= -(1 << 62)):
+        return placed.withColumn("row", F.col("place")).drop("place", "twice")
+    other = F.lit(high) + 1 + F.col("place") if high < 1 << 62 else F.lit(low) - 1 - F.col("place")
+    alone = F.col("doc_id").isNotNull() & F.col("twice").isNull()
+    return placed.withColumn("row", F.when(alone, F.col("doc_id")).otherwise(other)).drop("place", "twice")
+
+
 def linked_rows(docs: DataFrame, *, length: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``row, doc_id, sum, n_shingles, component`` of every row, stored.
 
@@ -220,7 +237,7 @@ def linked_rows(docs: DataFrame, *, length: int, percent: int, id_col: str = "do
     named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), text_sum(id_col, text_col).alias("sum"))
     counts = slot_counts(named, length)
     # Numbers are stored with the rows, so they stay the same.
-    rows = kept(signed(named, counts, length, percent).withColumn("row", F.monotonically_increasing_id()), "signed")
+    rows = kept(numbered(signed(named, counts, length, percent), named.select("doc_id")), "signed")
 
     # Equal sets are one node, named by the first row.
     nodes = kept(rows.filter("size > 0").groupBy("set_key").agg(F.min("row").alias("node")), "nodes")
