@@ -185,9 +185,9 @@ class ByteWords(dict):
         Between two words stands a line end, which is a token of its own in front
         of a space and part of no plain word.
         """
-        new = [word for word in words if word not in self and len(word) <= MAX_WORD_CHARS and "<|" not in word and _PLAIN_WORD.fullmatch(word)]
-        if len(self) + len(new) > MAX_WORDS:
+        if len(self) + len(words - self.keys()) > MAX_WORDS:
             self.clear()
+        new = [word for word in words if word not in self and len(word) <= MAX_WORD_CHARS and "<|" not in word and _PLAIN_WORD.fullmatch(word)]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             ids = np.array(self.ranks.encode_ordinary(" " + "\n ".join(part) + "\n"), dtype="<u4")
