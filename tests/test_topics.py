@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from driftline.operators import topics
+from driftline.operators import joins, topics
 
 MESSAGE = "message_id long, channel_username string, date timestamp, text string"
 
@@ -110,3 +110,16 @@ def test_says_whether_it_converged(spark, cells):
     assert topics.factorise(cells, topics=2).converged
     nothing = topics.factorise(cells.limit(0), topics=2)
     assert nothing.converged and nothing.doc_topics.count() == nothing.topic_terms.count() == 0
+
+
+def test_many_terms_move_no_cells_in_a_round(spark, cells, monkeypatch):
+    """Factors of terms too many to be sent to all tasks are the same, and their cells are not dealt out again in each round."""
+    few = topics.factorise(cells, topics=2, rounds=6)
+    lookups = []
+    monkeypatch.setattr(topics, "fits_broadcast", lambda *args: False)
+    monkeypatch.setattr(topics, "lookup_join", lambda *args, **options: lookups.append(1) or joins.lookup_join(*args, **options))
+    many = topics.factorise(cells, topics=2, rounds=6)
+    assert len(lookups) == 1
+    for left, right in ((few.doc_topics, many.doc_topics), (few.topic_terms, many.topic_terms)):
+        for (key, x), (other, y) in zip(rows(left), rows(right)):
+            assert key == other and all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(x, y))
