@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +18,12 @@ from driftline.operators.ranking import top_n_per_key, top_n_wide
 from driftline.schemas import FORWARD_HEADER, MESSAGES, require_columns
 from driftline.session import stage
 
+# Sent along with the tasks, so workers need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DEFAULT_LIMIT = 100
+# White space between words, the same to Python and Arrow.
+SPACE = r"[ \t\n\r\f\v]"
 
 
 def newest_first() -> list[Column]:
@@ -50,56 +62,123 @@ def messages_in_range(messages: DataFrame, start=None, end=None, *, column: str
     return messages.filter(in_date_range(column, start, end, messages.schema[column].dataType.simpleString()))
 
 
-# From so many keywords on, a post meets only those that it may hold.
+# From so many keywords on, they are looked for in each different word once.
 MANY_KEYWORDS = 64
+# Words whose keywords a task remembers; it begins anew beyond.
+KNOWN_WORDS = 500_000
 
 
-def _trigrams(text: Column) -> Column:
-    """Different runs of three characters; none in shorter texts."""
-    starts = F.sequence(F.lit(1), F.length(text) - 2)
-    return F.when(F.length(text) > 2, F.array_distinct(F.transform(starts, lambda at: F.substr(text, at, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+def _runs(text: str, lengths=(3,)) -> set[str]:
+    """Different runs of so many characters."""
+    return {text[i : i + n] for n in lengths for i in range(len(text) - n + 1)}
 
 
 def keyword_keys(posts: DataFrame, words: DataFrame) -> DataFrame:
     """``words`` with ``key``, the trigram of each keyword that fewest texts hold, the first of equals by its letters.
 
     ``posts`` has ``_text`` and ``words`` has ``word``, both in lower case. Texts
-    are read once and only trigrams of keywords are counted.
+    are read once, each along its length, and only trigrams of keywords are counted.
     """
-    of_words = stage(words.select("*", F.explode(_trigrams(F.col("word"))).alias("key")))
-    wanted = of_words.select("key").distinct()
-    held = posts.select(F.explode(_trigrams(F.col("_text"))).alias("key")).join(F.broadcast(wanted), "key", "left_semi")
-    counts = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+    @F.arrow_udf("array<string>")
+    def trigrams(texts: pa.Array) -> pa.Array:
+        return pa.array([sorted(_runs(text)) for text in texts.to_pylist()], pa.list_(pa.string()))
+
+    of_words = stage(words.select("*", F.explode(trigrams(F.col("word"))).alias("key")))
+    # The caller's list.
+    wanted = {row.key for row in of_words.select("key").distinct().collect()}
+
+    @F.arrow_udf("array<string>")
+    def held(texts: pa.Array) -> pa.Array:
+        return pa.array([list(_runs(text) & wanted) for text in texts.to_pylist()], pa.list_(pa.string()))
+
+    counts = posts.select(F.explode(held(F.col("_text"))).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     order = F.struct(F.coalesce("n", F.lit(0)), "key")
     return of_words.join(counts, "key", "left").groupBy(*words.columns).agg(F.min(order).alias("least")).select(*words.columns, "least.key")
 
 
+class KeywordFinder:
+    """Numbers of the lower-case keywords in lower-case texts, by the different words of a batch.
+
+    A keyword without white space lies within one word, and words come again and
+    again; within a word, only keywords are tried whose rarest trigram it holds, or
+    which have less than three letters. Keywords with white space are looked for in
+    the whole text. ``keywords`` has number, word and rarest trigram, if any.
+    """
+
+    def __init__(self, keywords: list[tuple[int, str, str | None]]) -> None:
+        self.everywhere = [number for number, word, _ in keywords if not word]
+        self.across = [(number, word) for number, word, _ in keywords if re.search(SPACE, word)]
+        self.by_key: dict[str, list[tuple[int, str]]] = {}
+        for number, word, key in keywords:
+            if word and not re.search(SPACE, word):
+                self.by_key.setdefault(key or word, []).append((number, word))
+        self.known: dict[str, list[int]] = {}
+
+    def of_word(self, word: str) -> list[int]:
+        found = self.known.get(word)
+        if found is None:
+            found = sorted({number for run in _runs(word, (1, 2, 3)) for number, keyword in self.by_key.get(run, ()) if keyword in word})
+            if len(self.known) >= KNOWN_WORDS:
+                self.known.clear()
+            self.known[word] = found
+        return found
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        words = pc.split_pattern_regex(texts, f"{SPACE}+")
+        coded = words.flatten().dictionary_encode()
+        of_words = [self.of_word(word) for word in coded.dictionary.to_pylist()]
+        sizes = np.array([len(found) for found in of_words], np.int64)
+        begins, flat = np.cumsum(sizes) - sizes, np.array([number for found in of_words for number in found], np.int64)
+        ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        text = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+        # Each word of a text once, of those that hold any keyword.
+        held = sizes[ids] > 0
+        pairs = np.unique(text[held] * max(1, len(sizes)) + ids[held])
+        text, ids = np.divmod(pairs, max(1, len(sizes)))
+        n = sizes[ids]
+        at = np.repeat(begins[ids] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        text, numbers = np.repeat(text, n), flat[at]
+        for number in self.everywhere:
+            text, numbers = np.append(text, np.arange(len(texts))), np.append(numbers, np.full(len(texts), number))
+        for number, word in self.across:
+            on = np.flatnonzero(pc.match_substring(texts, word).to_numpy(zero_copy_only=False))
+            text, numbers = np.append(text, on), np.append(numbers, np.full(len(on), number))
+        pairs = np.unique(np.stack([text, numbers]), axis=1).astype(np.int64)
+        offsets = np.searchsorted(pairs[0], np.arange(len(texts) + 1))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(pairs[1], pa.int32()))
+
+
 def match_keywords(posts: DataFrame, keywords=("",), *, many: int = MANY_KEYWORDS) -> DataFrame:
     """One row per post and keyword in its text, regardless of case; '' matches every post.
 
-    Each post is read where it lies, without a shuffle. A few keywords are literals of the plan. Of
-    ``many`` or more, a post is compared only with those whose rarest trigram it
-    holds; the caller's list, keyed by it, is sent to all tasks. Keywords of less
-    than three letters stay literals.
+    Each post is read where it lies, without a shuffle. A few keywords are literals of the
+    plan. ``many`` or more are looked for in each different word of a batch of
+    posts, by the rarest trigram of each.
     """
-    lowered = posts.withColumn("_text", F.lower(F.coalesce("text", F.lit(""))))
+    text = F.lower(F.coalesce("text", F.lit("")))
     numbered = list(enumerate(keywords))
-    literal = numbered if len(numbered) < many else [(number, word) for number, word in numbered if len(word) < 3]
-    hits = [
-        F.when(F.contains("_text", F.lower(F.lit(word))), F.struct(F.lit(number).alias("keyword_no"), F.lit(word).alias("keyword")))
-        for number, word in literal
-    ]
     names = [*posts.columns, "_hit.keyword_no", "_hit.keyword"]
-    matched = lowered.withColumn("_hit", F.explode(F.array_compact(F.array(*hits)))).select(*names) if hits else None
-    if len(literal) < len(numbered):
-        spark, left = posts.sparkSession, [pair for pair in numbered if len(pair[1]) >= 3]
-        words = spark.createDataFrame(left, "keyword_no int, keyword string").withColumn("word", F.lower("keyword"))
-        keyed = stage(keyword_keys(lowered, words)).withColumnRenamed("word", "_word").withColumnRenamed("key", "_key")
-        hit = F.struct("keyword_no", "keyword").alias("_hit")
-        met = lowered.withColumn("_key", F.explode(_trigrams(F.col("_text")))).join(F.broadcast(keyed.select("_key", "_word", hit)), "_key")
-        met = met.filter(F.contains("_text", "_word")).select(*names)
-        matched = met if matched is None else matched.unionByName(met)
-    return matched
+    if len(numbered) < many:
+        hits = [
+            F.when(F.contains("_text", F.lower(F.lit(word))), F.struct(F.lit(number).alias("keyword_no"), F.lit(word).alias("keyword")))
+            for number, word in numbered
+        ]
+        lowered = posts.withColumn("_text", text)
+        return lowered.withColumn("_hit", F.explode(F.array_compact(F.array(*hits)))).select(*names)
+    spark = posts.sparkSession
+    words = spark.createDataFrame(numbered, "keyword_no int, keyword string").select("keyword_no", F.lower("keyword").alias("word"))
+    keyed = keyword_keys(posts.select(text.alias("_text")), words.filter(F.length("word") > 2))
+    short = words.filter(F.length("word") <= 2).withColumn("key", F.lit(None).cast("string"))
+    finder = KeywordFinder([tuple(row) for row in keyed.unionByName(short).collect()])
+
+    @F.arrow_udf("array<int>")
+    def found(texts: pa.Array) -> pa.Array:
+        return finder(texts)
+
+    listed = F.array(*[F.lit(word) for _, word in numbered])
+    hit = F.struct(F.col("_no").alias("keyword_no"), F.get(listed, F.col("_no")).alias("keyword"))
+    return posts.withColumn("_no", F.explode(found(text))).withColumn("_hit", hit).select(*names)
 
 
 def keyword_posts(posts: DataFrame, keywords=("",), limit: int | None = DEFAULT_LIMIT) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime
 
 import pytest
@@ -124,3 +125,15 @@ def test_keywords_are_keyed_by_what_is_rare(spark):
     df = posts(spark, *[("c", i, 1, "the same words " + ("zebra" if i == 5 else "")) for i in range(20)]).withColumn("_text", F.col("text"))
     words = spark.createDataFrame([(0, "the zebra"), (1, "same"), (2, "quux")], "keyword_no int, word string")
     assert {r.word: r.key for r in messages.keyword_keys(df, words).collect()} == {"the zebra": "e z", "same": "ame", "quux": "quu"}
+
+
+def test_many_keywords_in_a_long_text(spark):
+    """Trigrams were cut out one by one, each counted from the begin of the text: quadratic in its length."""
+    text = "".join(chr(0x430 + i * 7 % 31) + ("\n" if i % 9 == 0 else "") for i in range(1_000_000)) + " last\u00a0word end"
+    df = posts(spark, ("c", 1, 1, text), ("c", 2, 1, "\t last \n"))
+    words = ["last", "last word", "last\u00a0word", "t\u00a0w", "word end", "d", " ", "", *(f"none{i}" for i in range(70))]
+    started = time.monotonic()
+    found = sorted((r.message_id, r.keyword) for r in messages.match_keywords(df, words).collect())
+    assert time.monotonic() - started < 60
+    held = {1: ["last", "last\u00a0word", "t\u00a0w", "word end", "d", " ", ""], 2: ["last", " ", ""]}
+    assert found == sorted((i, word) for i, kept in held.items() for word in kept)
