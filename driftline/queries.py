@@ -37,6 +37,8 @@ STREAM_RANGE = ("2024-01-03 00:00:00", None)
 FUNCTION_WORDS = names.ARTICLES_AND_PREPOSITIONS + ("new", "small")
 NAME_MIN_DF, NAME_MAX_DF = 0.01, 0.9
 MESSAGE_WORD_MIN_DF = 0.1
+# Messages of a stored file.
+STORED_FILE = 100_000
 
 
 def query(fn):
@@ -348,9 +350,10 @@ def relation_matrix_tiles(spark, sf_dir):
 
 @query
 def topic_corpus_scan(spark, sf_dir):
-    """The corpus of messages that were stored as one file, with line breaks in cells."""
+    """The corpus of messages that were stored as one file per some 100,000, with line breaks in cells."""
     stored = fixtures.messages(spark, sf_dir).select("channel_username", "message_id", "date", "text")
-    path = write_csv(stored.coalesce(1), working_path(spark, "stored-messages"))
+    files = max(1, -(-fixtures.table(spark, sf_dir, "documents").count() // STORED_FILE))
+    path = write_csv(stored.coalesce(files), working_path(spark, "stored-messages"))
     return topics.topic_corpus(tables.read_messages(spark, path)).withColumn("date", clean.iso_utc(F.col("date")))
 
 
