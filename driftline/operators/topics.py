@@ -14,7 +14,7 @@ from driftline.operators import grams
 from driftline.operators.joins import fits_broadcast, lookup_join
 from driftline.operators.ranking import top_n_per_key
 from driftline.operators.vocabulary import clean_tokens, doc_terms
-from driftline.session import shuffle_width, stage
+from driftline.session import pieces, shuffle_width, stage
 
 # Settings of the topic model.
 TOPICS = 5
@@ -31,6 +31,9 @@ LOOK_EVERY = 5
 
 EPSILON = 1e-12
 
+# Documents that a task cuts into words for the model of word counts.
+TASK_DOCS = 10_000
+
 
 def topic_corpus(messages: DataFrame) -> DataFrame:
     """``doc_id, channel_username, message_id, date, text``: the first message of each text, dated, not blank, without web addresses.
@@ -299,14 +302,17 @@ def top_documents(docs: DataFrame, n: int = 10) -> DataFrame:
 
 
 def lda_topics(corpus: DataFrame, *, stop_words=(), min_df: float = 0.01, topics: int = TOPICS, n: int = 10, seed: int = SEED) -> DataFrame:
-    """``topic, rank, term, weight`` by latent Dirichlet allocation; every round reads all texts.
+    """``topic, rank, term, weight`` by latent Dirichlet allocation; texts are cut once to count and once to store, every round reads counts.
 
     A fractional ``min_df`` bounds the vocabulary, which the model keeps whole:
     at most (mean distinct words per text) / min_df words.
     """
-    words = corpus.select("doc_id", clean_tokens(F.col("text"), stop_words).alias("words"))
+    spark = corpus.sparkSession
+    texts = corpus.select("doc_id", "text").repartition(pieces(spark, corpus.count(), TASK_DOCS), "doc_id")
+    words = texts.select("doc_id", clean_tokens(F.col("text"), stop_words).alias("words"))
     counter = CountVectorizer(inputCol="words", outputCol="features", minDF=min_df, vocabSize=(1 << 31) - 1).fit(words)
-    model = LDA(k=topics, seed=seed, maxIter=10, subsamplingRate=1.0).fit(counter.transform(words).select("features"))
+    counts = stage(counter.transform(words).select("features"))
+    model = LDA(k=topics, seed=seed, maxIter=10, subsamplingRate=1.0).fit(counts)
     names = words.sparkSession.createDataFrame(list(enumerate(counter.vocabulary)), "at int, term string")
     entry = F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("place", "entry")
     return (

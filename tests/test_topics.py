@@ -5,7 +5,10 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from driftline import queries, session
 from driftline.operators import joins, topics
+from driftline.sinks import files
+from driftline.sources.fixtures import messages
 
 MESSAGE = "message_id long, channel_username string, date timestamp, text string"
 
@@ -123,3 +126,24 @@ def test_many_terms_move_no_cells_in_a_round(spark, cells, monkeypatch):
     for left, right in ((few.doc_topics, many.doc_topics), (few.topic_terms, many.topic_terms)):
         for (key, x), (other, y) in zip(rows(left), rows(right)):
             assert key == other and all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(x, y))
+
+
+def test_stored_messages_are_a_file_per_so_many(spark, sf, monkeypatch):
+    """All messages went through one task, to one file."""
+    whole = rows(queries.QUERIES["topic_corpus_scan"](spark, sf))
+    written = []
+    monkeypatch.setattr(queries, "STORED_FILE", 50)
+    monkeypatch.setattr(queries, "write_csv", lambda df, path: written.append(df.rdd.getNumPartitions()) or files.write_csv(df, path))
+    monkeypatch.setattr(queries.fixtures, "messages", lambda spark, sf_dir: messages(spark, sf_dir).repartition(8))
+    assert rows(queries.QUERIES["topic_corpus_scan"](spark, sf)) == whole
+    assert written == [4]
+
+
+def test_word_counts_are_taken_by_tasks_of_a_bounded_number_of_documents(spark, monkeypatch):
+    corpus = spark.range(40).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "aa bb cc").otherwise("dd ee ff").alias("text")).coalesce(1)
+    widths = []
+    monkeypatch.setattr(topics, "TASK_DOCS", 5)
+    monkeypatch.setattr(topics, "stage", lambda df: widths.append(df.rdd.getNumPartitions()) or session.stage(df))
+    found = topics.lda_topics(corpus, topics=2, n=3)
+    assert widths == [8] and found.count() == 6
+    assert {r.term for r in found.collect()} <= {"aa", "bb", "cc", "dd", "ee", "ff"}
