@@ -1,12 +1,14 @@
 import math
 from datetime import datetime
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from driftline import queries, session
-from driftline.operators import joins, topics
+from driftline.functions.stopwords import TOPIC_LANGUAGES, stop_words
+from driftline.operators import cosines, joins, topics, vocabulary
 from driftline.sinks import files
 from driftline.sources.fixtures import messages
 
@@ -57,6 +59,46 @@ def test_vector_keywords_compare_only_terms_of_the_document(spark):
     assert rows(topics.vector_keywords(terms, docs, words)) == [(1, "a", half, 2), (1, "b", 1.0, 1), (2, "a", half, 1)]
 
 
+def test_vector_keywords_move_no_vector_per_pair(spark, monkeypatch):
+    """Pairs of documents and terms were joined with both vectors; now a document asks a bucket of terms, with packed hashes."""
+    monkeypatch.setattr(topics, "lookup_join", lambda *args, **options: pytest.fail("joined"))
+    monkeypatch.setattr(cosines, "TASK_TERMS", 3)
+    monkeypatch.setattr(cosines, "PACKED_ROWS", 4)
+    numbers = spark.range(12).withColumn("x", F.col("id").cast("float"))
+    docs = numbers.select(F.col("id").alias("doc_id"), F.array(F.col("x"), F.lit(1.0).cast("float")).alias("doc_vector"))
+    words = numbers.select(F.concat(F.lit("t"), "id").alias("term"), F.array(F.lit(1.0).cast("float"), F.col("x") - 5).alias("term_vector"))
+    # One word twice, one without a direction, one of another size, one without a vector.
+    more = spark.createDataFrame([("t1", [1.0, 0.0]), ("none", [0.0, 0.0]), ("long", [1.0, 2.0, 3.0])], "term string, term_vector array<float>")
+    words = words.unionByName(more)
+    names = [f"t{i}" for i in range(12)] + ["none", "long", "unknown"]
+    terms = docs.select("doc_id", F.explode(F.array(*map(F.lit, names))).alias("term")).filter(F.xxhash64("doc_id", "term") % 3 != 0)
+    vectors = [(r.term, r.term_vector) for r in words.collect()]
+    expected = []
+    for doc, vector in ((r.doc_id, r.doc_vector) for r in docs.collect()):
+        own = {r.term for r in terms.filter(F.col("doc_id") == doc).collect()}
+        found = [(t, None if len(v) != 2 else round(sum(a * b for a, b in zip(vector, v)) / math.hypot(*vector) / math.hypot(*v), 6)) for t, v in vectors if t in own and any(v)]
+        found.sort(key=lambda x: (math.inf if x[1] is None else -x[1], x[0]))
+        expected += [(doc, t, w, k + 1) for k, (t, w) in enumerate(found[:4])]
+    assert rows(topics.vector_keywords(terms, docs, words, n=4)) == sorted(expected, key=str)
+
+
+def test_weights_are_rounded_as_by_sql(spark):
+    given = [0.1234565, -0.1234565, 0.9999995, 1e-7, 0.5000005, 0.0000015, -0.33333349999999996, 0.2]
+    found = spark.createDataFrame([(x,) for x in given], "x double").select(F.round("x", 6)).collect()
+    assert [r[0] for r in found] == [x / 1e6 for x in cosines.millionths(np.array(given))]
+
+
+def test_corpus_terms_by_hash_move_no_texts(spark, sf, monkeypatch):
+    corpus = session.stage(topics.topic_corpus(messages(spark, sf)))
+    vocab = session.stage(topics.corpus_vocabulary(corpus, stop_words=stop_words(TOPIC_LANGUAGES))).select("term", "df")
+    plain = vocabulary.doc_terms(corpus.select("doc_id", "text"), ["doc_id"], stop_words=stop_words(TOPIC_LANGUAGES), within=vocab)
+    names = ("doc_id", "term", "tf", "df")
+    expected = rows(plain, *names)
+    monkeypatch.setattr(topics, "doc_terms", lambda *args, **options: pytest.fail("joined"))
+    found = topics.corpus_terms(corpus, vocab, stop_words=stop_words(TOPIC_LANGUAGES))
+    assert expected and rows(found, *names) == expected
+
+
 @pytest.fixture(scope="module")
 def cells(spark):
     weight = F.pmod(F.xxhash64("doc_id", "t"), F.lit(5)) + 1
