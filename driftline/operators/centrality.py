@@ -6,10 +6,12 @@ directions, no loops, positive whole weights.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,13 @@ from driftline.operators.joins import lookup_join
 from driftline.operators.ranking import global_rank
 from driftline.session import shuffle_width, stage
 
-# Graphs of so many edges, both ways counted, are sent to all tasks: twelve bytes each, 240 MB at most.
-MAX_EDGES = 20_000_000
+# Sent along with the tasks, so workers need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Graphs of so many edges, both ways counted, come to the driver once, eight bytes each, 320 MB at most; those that can be on a shortest path are sent to all tasks.
+MAX_EDGES = 40_000_000
+# Edges with which bounds of the distances are taken, the lightest of each node, and nodes over which these run.
+LIGHT, HUBS = 64, 64
 # Rows of a step for a slice of sources in larger ones.
 WORKING_ROWS = 200_000_000
 
@@ -203,19 +210,50 @@ class Arrays:
         return share
 
 
+def _lightest(key: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Places of the ``n`` lightest edges of each key."""
+    order = np.lexsort((weight, key))
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
+    return order[rank < n]
+
+
+def both_ways(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([weight, weight])
+
+
+def on_paths(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray, *, light: int = LIGHT, hubs: int = HUBS) -> np.ndarray:
+    """Places of the edges, one way each, that can be on a shortest path.
+
+    A way over a hub along the lightest edges of each node is a bound of a
+    distance; an edge heavier than that is never a step of a shortest path.
+    """
+    some = np.union1d(_lightest(a, weight, light), _lightest(b, weight, light))
+    graph = Arrays(n, *both_ways(a[some], b[some], weight[some]))
+    left = np.arange(len(a))
+    for hub in np.argsort(-np.diff(graph.begins), kind="stable")[:hubs]:
+        # Halved, so that two of them can be added.
+        dist = np.minimum(graph.distances(int(hub)), np.iinfo(np.int64).max // 2)
+        left = left[weight[left] <= dist[a[left]] + dist[b[left]]]
+    return left
+
+
 def shares_by_arrays(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``token, share`` of a graph that fits in a task: tasks get slices of sources, work through them one by one and send one sum per word."""
     spark = nodes.sparkSession
     ids = stage(global_rank(nodes.select("token"), [F.col("token")]).select("token", (F.col("rank") - 1).cast("int").alias("id")))
-    named = lookup_join(edges, ids.select(F.col("token").alias("a"), F.col("id").alias("from")), "a", "inner")
+    once = edges.filter("a < b")
+    named = lookup_join(once, ids.select(F.col("token").alias("a"), F.col("id").alias("from")), "a", "inner")
     named = lookup_join(named, ids.select(F.col("token").alias("b"), F.col("id").alias("to")), "b", "inner")
-    # At most MAX_EDGES rows of three numbers, counted before.
+    # At most half of MAX_EDGES rows of three numbers, counted before.
     found = named.select("from", "to", F.col("weight").cast("bigint").alias("weight")).toArrow()
     n = ids.count()
-    sent = spark.sparkContext.broadcast(Arrays(n, *(found.column(name).to_numpy() for name in ("from", "to", "weight"))))
+    columns = [found.column(name).to_numpy() for name in ("from", "to", "weight")]
+    kept = on_paths(n, *columns)
+    sent = spark.sparkContext.broadcast(tuple(column[kept] for column in columns))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        graph = sent.value
+        graph = Arrays(n, *both_ways(*sent.value))
         total = np.zeros(graph.n)
         for batch in batches:
             for source in batch.column("id").to_pylist():
@@ -234,9 +272,10 @@ def betweenness(nodes: DataFrame, edges: DataFrame, *, max_edges: int = MAX_EDGE
 
     Sources are taken in slices, and no table of all pairs is held. A graph of up
     to ``max_edges`` edges is sent to all tasks; the slices of a larger one are
-    joins of at most about ``working_rows`` rows.
+    joins of at most about ``working_rows`` rows. ``edges`` is read several times,
+    so pass it staged or cheap.
     """
-    edges = stage(edges.select("a", "b", "weight"))
+    edges = edges.select("a", "b", "weight")
     through = shares_by_arrays(nodes, edges) if edges.count() <= max_edges else shares_by_slices(nodes, edges, working_rows)
     n = node_count(nodes)
     value = F.coalesce("share", F.lit(0.0)) / ((n - 1) * (n - 2))

@@ -118,3 +118,17 @@ def test_slices_of_sources_add_up(spark, working_rows):
     found = {r.token: r.betweenness_centrality for r in centrality.betweenness(vertices, edges, max_edges=0, working_rows=working_rows).collect()}
     expected = brandes([*nodes, "alone"], both)
     assert set(found) == set(expected) and all(math.isclose(found[v], expected[v], abs_tol=1e-9) for v in expected)
+
+
+def test_only_edges_that_can_be_on_a_path_are_sent():
+    """All edges were, and each task looked through them for every source."""
+    rng = random.Random(3)
+    nodes, pairs = random_graph(rng, 60, [1, 2, 3, 50, 400, 900], 0.9)
+    ids = {v: i for i, v in enumerate(nodes)}
+    a, b, w = (np.array(x) for x in zip(*((ids[a], ids[b], w) for a, b, w in pairs)))
+    kept = centrality.on_paths(len(nodes), a, b, w, light=4, hubs=8)
+    assert len(kept) < 0.7 * len(a)
+    whole, part = (centrality.Arrays(len(nodes), *centrality.both_ways(a[k], b[k], w[k])) for k in (slice(None), kept))
+    for source in range(len(nodes)):
+        assert (whole.distances(source) == part.distances(source)).all()
+        assert np.allclose(whole.shares(source), part.shares(source), atol=1e-12)

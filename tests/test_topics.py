@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from driftline import queries, session
 from driftline.functions.stopwords import TOPIC_LANGUAGES, stop_words
-from driftline.operators import cosines, joins, topics, vocabulary
+from driftline.operators import cosines, joins, pairs, topics, vocabulary
 from driftline.sinks import files
 from driftline.sources.fixtures import messages
 
@@ -99,6 +99,20 @@ def test_corpus_terms_by_hash_move_no_texts(spark, sf, monkeypatch):
     assert expected and rows(found, *names) == expected
 
 
+def test_cooccurrence_in_stripes(spark, sf, monkeypatch):
+    """Every pair of terms of a text was a row; now stripes of the matrix are added up by tasks."""
+    monkeypatch.setattr(pairs, "CELLS", 5000)
+    monkeypatch.setattr(pairs, "PAIRS", 100)
+    corpus = session.stage(topics.topic_corpus(messages(spark, sf)))
+    vocab = topics.corpus_vocabulary(corpus, stop_words=stop_words(), min_df=0.1, max_df=0.9)
+    n = corpus.count()
+    plain = vocabulary.vocabulary(corpus.select("doc_id", "text"), F.lit(n), stop_words=stop_words(), min_df=0.1, max_df=0.9)
+    assert rows(vocab) == rows(plain) and vocab.count() > 50
+    expected = vocabulary.cooccurrence(vocabulary.doc_terms(corpus.select("doc_id", "text"), ["doc_id"], stop_words=stop_words(), within=vocab.select("term")))
+    assert rows(topics.corpus_cooccurrence(corpus, vocab, stop_words=stop_words())) == rows(expected)
+    assert rows(topics.corpus_cooccurrence(corpus, vocab.limit(0))) == []
+
+
 @pytest.fixture(scope="module")
 def cells(spark):
     weight = F.pmod(F.xxhash64("doc_id", "t"), F.lit(5)) + 1
