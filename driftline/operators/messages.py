@@ -66,6 +66,9 @@ def messages_in_range(messages: DataFrame, start=None, end=None, *, column: str
 MANY_KEYWORDS = 64
 # Words whose keywords a task remembers; it begins anew beyond.
 KNOWN_WORDS = 500_000
+# Cells of the table of texts and keywords that are marked at a time, and words whose keywords are.
+CELLS = 1 << 24
+WORDS_AT_A_TIME = 1 << 16
 
 
 def _runs(text: str, lengths=(3,)) -> set[str]:
@@ -107,6 +110,7 @@ class KeywordFinder:
     """
 
     def __init__(self, keywords: list[tuple[int, str, str | None]]) -> None:
+        self.width = max((number for number, _, _ in keywords), default=-1) + 1
         self.everywhere = [number for number, word, _ in keywords if not word]
         self.across = [(number, word) for number, word, _ in keywords if re.search(SPACE, word)]
         self.by_key: dict[str, list[tuple[int, str]]] = {}
@@ -136,17 +140,26 @@ class KeywordFinder:
         held = sizes[ids] > 0
         pairs = np.unique(text[held] * max(1, len(sizes)) + ids[held])
         text, ids = np.divmod(pairs, max(1, len(sizes)))
-        n = sizes[ids]
-        at = np.repeat(begins[ids] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        text, numbers = np.repeat(text, n), flat[at]
-        for number in self.everywhere:
-            text, numbers = np.append(text, np.arange(len(texts))), np.append(numbers, np.full(len(texts), number))
-        for number, word in self.across:
-            on = np.flatnonzero(pc.match_substring(texts, word).to_numpy(zero_copy_only=False))
-            text, numbers = np.append(text, on), np.append(numbers, np.full(len(on), number))
-        pairs = np.unique(np.stack([text, numbers]), axis=1).astype(np.int64)
-        offsets = np.searchsorted(pairs[0], np.arange(len(texts) + 1))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(pairs[1], pa.int32()))
+        counts, hits = np.zeros(len(texts), np.int64), []
+        step = max(1, CELLS // max(1, self.width))
+        for first in range(0, len(texts), step):
+            # Keywords come again in many words of a text: they are marked, not listed per word.
+            part = texts.slice(first, step)
+            marks = np.zeros((len(part), self.width), bool)
+            marks[:, self.everywhere] = True
+            for number, word in self.across:
+                marks[:, number] |= pc.match_substring(part, word).to_numpy(zero_copy_only=False)
+            at, end = np.searchsorted(text, (first, first + step))
+            for i in range(at, end, WORDS_AT_A_TIME):
+                on, row = ids[i : min(end, i + WORDS_AT_A_TIME)], text[i : min(end, i + WORDS_AT_A_TIME)] - first
+                n = sizes[on]
+                places = np.repeat(begins[on] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                marks[np.repeat(row, n), flat[places]] = True
+            row, number = np.nonzero(marks)
+            counts[first : first + step] = np.bincount(row, minlength=len(part))
+            hits.append(number.astype(np.int32))
+        offsets = np.concatenate([[0], np.cumsum(counts)])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([*hits, np.empty(0, np.int32)]), pa.int32()))
 
 
 def match_keywords(posts: DataFrame, keywords=("",), *, many: int = MANY_KEYWORDS) -> DataFrame:

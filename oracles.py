@@ -462,7 +462,7 @@ WHERE k = 1""",
         ("newest", NEWEST),
     )
     sql["keyword_counts"] = with_ctes(
-        f"SELECT keyword, count(*)::BIGINT AS posts FROM messages JOIN (SELECT unnest({_word_list(TOPIC_LANGUAGES)}) AS keyword) "
+        f"SELECT keyword, count(*)::BIGINT AS posts FROM messages JOIN (SELECT unnest({_word_list(NAME_LANGUAGES)}) AS keyword) "
         "ON contains(lower(coalesce(text, '')), lower(keyword)) GROUP BY keyword",
         ("messages", MESSAGES),
     )

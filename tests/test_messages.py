@@ -2,13 +2,17 @@ import random
 import time
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from driftline.functions.stopwords import stop_words
 from driftline.operators import messages
 from driftline.operators.joins import lookup_join
 from driftline.operators.ranking import global_rank, top_n_per_key, top_n_wide
+from driftline.queries import QUERIES
+from driftline.sources import fixtures
 
 
 def posts(spark, *given):
@@ -137,3 +141,21 @@ def test_many_keywords_in_a_long_text(spark):
     assert time.monotonic() - started < 60
     held = {1: ["last", "last\u00a0word", "t\u00a0w", "word end", "d", " ", ""], 2: ["last", " ", ""]}
     assert found == sorted((i, word) for i, kept in held.items() for word in kept)
+
+
+def test_keyword_counts_look_for_every_stop_word(spark, sf):
+    """Only the words of one list were looked for, of a language that no text is in."""
+    texts = [(row.text or "").lower() for row in fixtures.messages(spark, sf).select("text").collect()]
+    expected = {word: n for word in stop_words() if (n := sum(word in text for text in texts))}
+    assert {row.keyword: row.posts for row in QUERIES["keyword_counts"](spark, sf).collect()} == expected
+    assert {"the", "und", "les", "los"} <= set(expected)
+
+
+def test_keywords_are_marked_in_parts(spark, monkeypatch):
+    texts = [f"w{i} w{i % 7} the w{i}" for i in range(50)] + [None, ""]
+    words = ["", "the", "w1", "e w", *(f"w{i}" for i in range(2, 90))]
+    monkeypatch.setattr(messages, "CELLS", 300)
+    monkeypatch.setattr(messages, "WORDS_AT_A_TIME", 2)
+    finder = messages.KeywordFinder([(i, word, word[:3] if len(word) > 2 else None) for i, word in enumerate(words)])
+    found = finder(pa.array([text or "" for text in texts])).to_pylist()
+    assert found == [[i for i, word in enumerate(words) if word in (text or "")] for text in texts]
