@@ -1,4 +1,6 @@
+import glob
 import math
+import time
 from datetime import datetime
 
 import numpy as np
@@ -203,3 +205,67 @@ def test_word_counts_are_taken_by_tasks_of_a_bounded_number_of_documents(spark,
     found = topics.lda_topics(corpus, topics=2, n=3)
     assert widths == [8] and found.count() == 6
     assert {r.term for r in found.collect()} <= {"aa", "bb", "cc", "dd", "ee", "ff"}
+
+
+def test_vector_keywords_of_some_buckets_at_a_time(spark, monkeypatch):
+    """All documents went to all buckets at once, which grows with documents times buckets, and all shuffles stayed."""
+    numbers = spark.range(60).withColumn("x", F.col("id").cast("float"))
+    one = F.lit(1.0).cast("float")
+    docs = numbers.select(F.col("id").alias("doc_id"), F.array(F.col("x"), one).alias("doc_vector"))
+    words = numbers.select(F.concat(F.lit("t"), "id").alias("term"), F.array(one, F.col("x") - 30).alias("term_vector"))
+    terms = docs.crossJoin(words).select("doc_id", "term").filter(F.xxhash64("doc_id", "term") % 3 != 0)
+    whole = rows(topics.vector_keywords(terms, docs, words))
+    tasks = []
+    plain = cosines.nearest_in_buckets
+    monkeypatch.setattr(cosines, "nearest_in_buckets", lambda *given: tasks.append(given[-2:]) or plain(*given))
+    monkeypatch.setattr(cosines, "TASK_TERMS", 5)
+    monkeypatch.setattr(cosines, "PASS_ROWS", 301)
+    assert rows(topics.vector_keywords(terms, docs, words)) == whole and len(whole) == 300
+    monkeypatch.setattr(topics, "SENT_TERMS", 59)
+    assert rows(topics.vector_keywords(terms, docs, words)) == whole
+    assert tasks == [(5, True)] * 3 + [(5, False)] * 3
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 7, 8, 61])
+def test_lists_of_terms_are_packed_by_place(spark, buckets):
+    """A term took eight bytes in each list."""
+    terms = spark.range(30).select(F.col("id").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("id") * 40)).alias("t")).select("doc_id", F.concat(F.lit("t"), "t").alias("term"))
+    hashed = cosines.hashed_terms(spark.range(0, 1000, 2).select(F.concat(F.lit("t"), "id").alias("term")), buckets)
+    of_bucket = {}
+    for r in hashed.collect():
+        of_bucket.setdefault(r.bucket, []).append((r.hash, r.term))
+    found = cosines.packed_terms(terms, buckets, cosines.sent_terms(hashed)).collect()
+    read = set()
+    for r in found:
+        places, sizes = cosines.ranks([bytes(r.hashes)])
+        read |= {(r.doc_id, sorted(of_bucket[r.bucket])[i][1]) for i in places}
+        assert sizes.tolist() == [len(places)]
+    assert read == {(d, f"t{t}") for d in range(30) for t in range(0, min(d * 40 + 1, 1000), 2)}
+    assert sum(len(r.hashes) for r in found) < 2 * len(read) + 2 * len(found)
+
+
+def test_numbers_are_read_as_they_were_packed():
+    x = np.array([0, 1, 127, 128, 16383, 16384, 2**21, 2**28, 2**35, 2**40, 0])
+    raw, ends = cosines.varints(x)
+    cuts = [0, *ends[[2, 3, 10]]]
+    places, sizes = cosines.ranks([raw[i:j].tobytes() for i, j in zip(cuts, cuts[1:])])
+    assert sizes.tolist() == [3, 1, 7] and places.tolist() == [*np.cumsum(x[:3]), 128, *np.cumsum(x[4:])]
+    assert cosines.ranks([])[0].tolist() == []
+
+
+def test_staged_tables_let_go_of_their_shuffles(spark, tmp_path):
+    """The files of each shuffle stayed until the driver happened to collect its garbage."""
+
+    def files():
+        return {f for top in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs() for f in glob.glob(f"{top}/*/shuffle_*")}
+
+    before = files()
+    df = spark.range(1000).repartition(3, "id")
+    kept = session.stage(df), session.stored(df.withColumn("k", F.col("id") % 2), "kept", "k")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    assert [table.count() for table in kept] == [1000, 1000] and df.count() == 1000
+    assert spark.conf.get(session.STORING, "false") == "false"
