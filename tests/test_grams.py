@@ -58,3 +58,11 @@ def test_blocks_are_cut_at_their_bounds(monkeypatch):
 def test_nothing_in_nothing_out(spark, corpus):
     nothing = stage(corpus.limit(0))
     assert topics.corpus_vocabulary(nothing).count() == topics.document_keywords(nothing).count() == 0
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    """Workers kept what their last task had used."""
+    given = []
+    monkeypatch.setattr(grams.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: given.append("back")})())
+    assert list(grams.tidied(lambda batches: (batch * 2 for batch in batches))(iter([1, 2]))) == [2, 4]
+    assert given == ["back"]
