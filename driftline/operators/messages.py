@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -91,11 +93,14 @@ def keyword_keys(posts: DataFrame, words: DataFrame) -> DataFrame:
     # The caller's list.
     wanted = {row.key for row in of_words.select("key").distinct().collect()}
 
-    @F.arrow_udf("array<string>")
-    def held(texts: pa.Array) -> pa.Array:
-        return pa.array([list(_runs(text) & wanted) for text in texts.to_pylist()], pa.list_(pa.string()))
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = Counter()
+            for text in batch.column("_text"):
+                found.update(_runs(text.as_py()) & wanted)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["key", "n"])
 
-    counts = posts.select(F.explode(held(F.col("_text"))).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    counts = posts.select("_text").mapInArrow(held, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
     order = F.struct(F.coalesce("n", F.lit(0)), "key")
     return of_words.join(counts, "key", "left").groupBy(*words.columns).agg(F.min(order).alias("least")).select(*words.columns, "least.key")
 
